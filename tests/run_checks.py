@@ -23,7 +23,7 @@ def main(sf_dir: str, wanted: list[str]) -> int:
         cases.update(all_cases())
     keys = [w for w in wanted if not w.startswith("@")] or list(cases)
     spark = session.build(
-        "checks", "local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false",
+        "checks", "local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false", spark__ui__showConsoleProgress="false",
         spark__driver__memory="8g", spark__sql__warehouse__dir="/tmp/millrace-warehouse",
     )
     spark.sparkContext.setLogLevel("ERROR")
