@@ -19,6 +19,10 @@ SALTS = 64
 
 def hot_keys(df: DataFrame, keys: Sequence[str], support: float = SUPPORT) -> DataFrame:
     """Every key combination holding more than ``support`` of the rows (and perhaps a few more)."""
+    if len(keys) == 1:
+        (key,) = keys
+        frequent = df.select(key).stat.freqItems([key], support)
+        return frequent.select(F.explode(f"{key}_freqItems").alias(key))
     packed = df.select(F.struct(*keys).alias("key"))
     return (
         packed.stat.freqItems(["key"], support)
@@ -41,17 +45,20 @@ def salted_join(
     spread_by: Sequence[str],
     support: float = SUPPORT,
     salts: int = SALTS,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Equi-join whose left side may pile up on a few keys.
 
     Left rows of a hot key are spread over ``salts`` partitions by ``spread_by``
     (columns that tell its rows apart); the right rows of those keys, and only
-    those, are repeated once per salt. Exact for inner, left, semi and anti joins.
+    those, are repeated once per salt. Exact for inner, left, semi and anti joins,
+    whatever the hot keys are. Finding them reads the left side's keys once more: where
+    that side is itself a join, pass ``hot`` found on its input.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"salting keeps {how!r} joins exact only from the left side")
     keys = list(keys)
-    hot = hot_keys(left, keys, support)
+    hot = hot_keys(left, keys, support) if hot is None else hot
     # a null key matches nothing, so its rows may go anywhere
     unmatched = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
     salted_left = _flag(left, hot, keys).withColumn(

@@ -6,9 +6,12 @@ from collections.abc import Sequence
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.stat import ChiSquareTest, Correlation
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace import scratch
+from millrace.operators.skew import salted_join
+
 
 def pair_stats(df: DataFrame, keys: Sequence[str], x: str, y: str) -> DataFrame:
     """Pearson correlation and sample covariance of two columns, per key or overall."""
@@ -44,12 +47,59 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str], method: str) -> DataF
 
     The matrix is columns × columns, whatever the number of rows.
     """
-    vectors = VectorAssembler(inputCols=list(cols), outputCol="v").transform(df.select(*cols))
-    matrix = Correlation.corr(vectors, "v", method).first()[0].toArray()
+    rows = df.select(*cols)
+    if method == "spearman":
+        rows = _as_ranks(rows, cols)
+    vectors = VectorAssembler(inputCols=list(cols), outputCol="v").transform(rows)
+    matrix = Correlation.corr(vectors, "v", "pearson").first()[0].toArray()
     cells = [(a, b, float(matrix[i][j])) for i, a in enumerate(cols) for j, b in enumerate(cols)]
     return df.sparkSession.createDataFrame(cells, "i string, j string, r double")
 
 
+#: Distinct values up to this number may be sent to every executor with their ranks.
+BROADCAST_VALUES = 1_000_000
+
+
+def _counted_values(df: DataFrame, col: str) -> DataFrame:
+    """Distinct values with their number of rows, laid out in ascending ranges of the value."""
+    counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
+    return scratch.cut(counts.repartitionByRange(col))
+
+
+def _ranks_of(counted: DataFrame, col: str) -> DataFrame:
+    """Places within a range come from a window over that range, places before it from one
+    row count per range."""
+    ordered = counted.withColumn("_part", F.spark_partition_id())
+    per_part = ordered.groupBy("_part").agg(F.sum("n").alias("_rows"))
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = per_part.select("_part", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_start"))
+    inside = Window.partitionBy("_part").orderBy(col).rowsBetween(Window.unboundedPreceding, -1)
+    place = F.col("_start") + F.coalesce(F.sum("n").over(inside), F.lit(0))
+    return ordered.join(F.broadcast(starts), "_part").select(
+        col, (place + (F.col("n") + 1) / 2).alias("rank"), "n"
+    )
+
+
+def average_ranks(df: DataFrame, col: str) -> DataFrame:
+    """``(col, rank, n)`` per distinct value; equal values share the mean of their places. Values
+    are counted before they are sorted, so copies of a value never move."""
+    return _ranks_of(_counted_values(df, col), col)
+
+
+def _as_ranks(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Replace each value by its average rank. The ranks of a column are broadcast if it has few
+    distinct values; otherwise they are joined by value, with frequent values spread out."""
+    rows = df.withColumn("_row", F.monotonically_increasing_id())
+    for c in cols:
+        counted = _counted_values(df, c)
+        ranks = _ranks_of(counted, c).select(c, F.col("rank").alias(f"_{c}"))
+        if counted.limit(BROADCAST_VALUES + 1).count() <= BROADCAST_VALUES:
+            rows = rows.join(F.broadcast(ranks), c)
+        else:
+            rows = salted_join(rows, ranks, [c], spread_by=["_row"])
+    return rows.select(*[F.col(f"_{c}").alias(c) for c in cols])
+
+
 def chi_square(df: DataFrame, label: str, cols: Sequence[str]) -> DataFrame:
     """Independence test of each categorical column against the label:
     ``(feature, p_value, degrees_of_freedom, statistic)``. Bucketise continuous columns first."""

@@ -42,7 +42,7 @@ def _ranks_sql(go_on: str) -> str:
         weighted AS (SELECT i.src, i.dst, CAST(count(*) AS DOUBLE) / any_value(d) AS w
                      FROM inside i JOIN degree g ON g.src = i.src GROUP BY i.src, i.dst),
         pr(round, id, rank, moved) AS (
-            SELECT 0, id, CAST(0.15 AS DOUBLE), CAST(1 AS DOUBLE) FROM users
+            SELECT 0, id, CAST(1 AS DOUBLE), CAST(1 AS DOUBLE) FROM users
             UNION ALL
             SELECT round + 1, id, new_rank, max(abs(new_rank - rank)) OVER ()
             FROM (SELECT p.round, p.id, p.rank, p.moved,

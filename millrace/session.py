@@ -17,6 +17,8 @@ RUNTIME = {
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
+    # commit a batch's changes rather than a snapshot of the whole state
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     # merge the sessions of one key inside each input partition before the shuffle
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }
