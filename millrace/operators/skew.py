@@ -71,9 +71,9 @@ def salted_join(
         F.array(F.lit(0))
     )
     salted_right = _flag(right, hot, keys).withColumn("_salt", F.explode(copies))
-    return salted_left.drop("_hot").join(
-        salted_right.drop("_hot"), [*keys, "_salt"], how
-    ).drop("_salt")
+    joined = salted_left.drop("_hot").join(salted_right.drop("_hot"), [*keys, "_salt"], how)
+    added = [] if how in ("left_semi", "left_anti") else [c for c in right.columns if c not in keys]
+    return joined.select(*left.columns, *added)
 
 
 def chunk_of(row_id: Column, group_rows: Column, chunk_rows: int) -> Column:

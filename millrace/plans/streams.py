@@ -168,7 +168,7 @@ def cumulative_exclusive(spark: SparkSession, sf: str) -> DataFrame:
 @CASES.query(
     "st_session_count",
     """WITH marked AS (SELECT user_id, value > 50 AS good, ts,
-                       CASE WHEN ts >= lag(ts) OVER w + INTERVAL 6 HOUR THEN 1 ELSE 0 END AS opens
+                       CASE WHEN ts > lag(ts) OVER w + INTERVAL 6 HOUR THEN 1 ELSE 0 END AS opens
                        FROM events WINDOW w AS (PARTITION BY user_id, value > 50 ORDER BY ts)),
             numbered AS (SELECT *, sum(opens) OVER (PARTITION BY user_id, good ORDER BY ts) AS s FROM marked)
        SELECT user_id, good, min(ts) AS session_start, CAST(max(ts) + INTERVAL 6 HOUR AS TIMESTAMP) AS session_end, count(*) AS n

@@ -64,7 +64,7 @@ FRIENDS = "user_id string, friends array<string>"
 
 def from_json_file(spark: SparkSession, path: str) -> T.StructType:
     """Load a schema document (the ``StructType`` JSON form) from any file system."""
-    document = spark.read.option("wholetext", True).text(path).first()
+    document = spark.read.text(path, wholetext=True).first()
     return T.StructType.fromJson(json.loads(document["value"]))
 
 

@@ -41,7 +41,8 @@ def sliding_average(
 
 
 def session_counts(df: DataFrame, ts: str, keys: Sequence[str], gap: str) -> DataFrame:
-    """Rows per key and session; a pause of ``gap`` or longer ends a session.
+    """Rows per key and session; a pause longer than ``gap`` ends a session, one of
+    exactly ``gap`` does not.
 
     On a stream the sessions of one key are merged inside each input partition
     before the shuffle (see ``session.RUNTIME``).
@@ -57,12 +58,14 @@ def session_counts_batch(df: DataFrame, ts: str, keys: Sequence[str], gap: str,
     """The same on a table, in two steps: sessions inside a time slice, so one busy key is shared
     by many tasks, then those partial sessions merged where they overlap across slices."""
     stamped = df.withColumn(ts, instant(F.col(ts)))
+    micros = F.unix_micros("w.end") - F.unix_micros("w.start")
+    length = F.make_interval(secs=(micros.cast("decimal(20, 6)") / 1_000_000).cast("decimal(18, 6)"))
     partial = (
         stamped.groupBy(
             F.session_window(ts, gap).alias("w"), F.date_trunc(slice_unit, ts).alias("slice"), *keys
         )
         .agg(F.count(F.lit(1)).alias("n"))
-        .select(*keys, F.col("w.start").alias("start"), (F.col("w.end") - F.col("w.start")).alias("length"), "n")
+        .select(*keys, F.col("w.start").alias("start"), length.alias("length"), "n")
     )
     return (
         partial.groupBy(F.session_window("start", F.col("length")).alias("w"), *keys)
