@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace import scratch
+from millrace.operators.skew import hot_keys, salted_join
 
 
 def labelled(df: DataFrame, label: str | Column, cols: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
@@ -64,10 +65,9 @@ def cells(entries: DataFrame) -> DataFrame:
 
 def times_vector(entries: DataFrame, vector: DataFrame) -> DataFrame:
     """Matrix · vector for entries ``(i, j, v)`` and ``vector(j, x)``. The entries are summed to
-    cells first, so a crowded column reaches the join once per row only."""
+    cells first; the cells of a crowded column are spread over the rows."""
     return (
-        cells(entries)
-        .join(vector, "j")
+        salted_join(cells(entries), vector, ["j"], spread_by=["i"], hot=hot_keys(entries, ["j"]))
         .groupBy("i")
         .agg(F.sum(F.col("v") * F.col("x")).alias("y"))
     )

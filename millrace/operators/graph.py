@@ -44,9 +44,8 @@ def pagerank(
     hot = F.broadcast(hot_keys(folded, ["src"]).withColumn("hot", F.lit(True)))
 
     salt = F.when(F.col("hot"), F.pmod(F.xxhash64("dst"), F.lit(salts)).cast("int")).otherwise(0)
-    placed = scratch.cut(
-        folded.join(hot, "src", "left").select("src", salt.alias("salt"), "dst", "repeats").repartition("src", "salt")
-    )
+    salted = folded.join(hot, "src", "left").select("src", salt.alias("salt"), "dst", "repeats")
+    placed = scratch.laid_out(salted, "src", "salt")
 
     copies = F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     ids = vertices.select("id").distinct()
@@ -54,7 +53,6 @@ def pagerank(
         ids.join(degrees.withColumnRenamed("src", "id"), "id", "left")
         .join(hot.withColumnRenamed("src", "id"), "id", "left")
         .select("id", F.coalesce("degree", F.lit(0)).alias("degree"), copies.alias("copies"))
-        .repartition("id")
     )
 
     ranks = nodes.select("id", "degree", "copies", F.lit(1.0).alias("rank"))

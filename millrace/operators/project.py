@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 
 from millrace.functions import text
 
-#: A dictionary up to this many entries may be held by every executor.
-BROADCAST_ENTRIES = 1_000_000
+#: A dictionary up to this size becomes a map inside the plan: no join, no exchange.
+MAP_ENTRIES = 200
+#: A dictionary up to this size may be held by every executor.
+BROADCAST_ENTRIES = 500_000
 
 
 def translate(
@@ -19,16 +21,21 @@ def translate(
     id_col: str,
     text_col: str,
     dictionary: DataFrame,
+    map_entries: int = MAP_ENTRIES,
     broadcast_entries: int = BROADCAST_ENTRIES,
 ) -> DataFrame:
     """Replace each word by its dictionary entry; unknown words and word order stay.
 
     ``dictionary`` has one row ``(word, translation)`` per word, ``id_col`` is unique.
-    Lines are partitioned by id *before* they are split, so the words are put
-    together again without a second exchange. A dictionary beyond
-    ``broadcast_entries`` is joined by a salted exchange on the word instead,
-    because a few words make up much of any text.
+    A dictionary of a few words is looked up in place. For a larger one the lines are
+    partitioned by id *before* they are split, so the words are put together again
+    without a second exchange; beyond ``broadcast_entries`` it is joined by a salted
+    exchange on the word, because a few words make up much of any text.
     """
+    known = dictionary.limit(map_entries + 1).collect()
+    if len(known) <= map_entries:
+        lookup = {row["word"]: row["translation"] for row in known}
+        return lines.select(id_col, text.translate_words(text_col, lookup).alias("translated"))
     placed = lines.select(id_col, text_col).repartition(id_col)
     split = placed.select(id_col, F.posexplode(text.words(text_col)).alias("pos", "word"))
     small = dictionary.limit(broadcast_entries + 1).count() <= broadcast_entries

@@ -9,7 +9,7 @@ from millrace import schemas
 from millrace.functions import clean
 from millrace.functions import text as X
 from millrace.functions.times import wall
-from millrace.operators import aggregate, order, stats
+from millrace.operators import aggregate, joins, order, stats
 from millrace.plans.base import Cases, cdr_text, events, table
 from millrace.plans.projections import TOKENS
 
@@ -202,7 +202,7 @@ def basket(spark: SparkSession, sf: str) -> DataFrame:
 def brand_lines(spark: SparkSession, sf: str) -> DataFrame:
     brands = table(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), "p_brand")
     lines = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey")
-    return lines.join(brands, "l_partkey").select("l_orderkey", "p_brand")
+    return joins.inner(lines, brands, ["l_partkey"], spread_by=["l_orderkey"]).select("l_orderkey", "p_brand")
 
 
 @CASES.query(

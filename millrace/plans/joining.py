@@ -9,8 +9,9 @@ from millrace import scratch
 from millrace.functions import text as X
 from millrace.operators import joins, sampling, sets, udf
 from millrace.plans.base import SLICED_EVENTS, Cases, events, k_of_props, quotes, table
+from millrace.sinks.files import per_batch
 from millrace.streaming import batches
-from millrace.streaming.joins import with_static, within
+from millrace.streaming.joins import enrich, within
 from millrace.streaming.replay import day_slices, replay, replay_batches
 from millrace.streaming.windows import watermarked
 
@@ -108,18 +109,11 @@ def stream_static(spark: SparkSession, sf: str) -> DataFrame:
     people = table(spark, sf, "customer").select(
         F.col("c_custkey").alias("user_id"), "c_name", "c_nationkey"
     )
-    out = scratch.new_dir(spark, "static-join")
+    path = scratch.new_dir(spark, "static-join")
     rows = events(spark, sf).select("event_id", "user_id", "ts")
-    replay(
-        spark,
-        {"rows": day_slices(rows, "ts")},
-        lambda rows: with_static(rows, people, ["user_id"])
-        .select("event_id", "c_name", "c_nationkey")
-        .writeStream.format("parquet")
-        .option("path", out),
-        "static-join",
-    )
-    return spark.read.parquet(out)
+    step = enrich(people, ["user_id"], ["event_id"], per_batch(path))
+    replay_batches(rows, "ts", step, "static-join")
+    return spark.read.parquet(path).select("event_id", "c_name", "c_nationkey")
 
 
 def _visit() -> Column:

@@ -33,8 +33,17 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def persisted(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once below the shared folder and read it back."""
-    path = new_dir(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def laid_out(df: DataFrame, *keys: str) -> DataFrame:
+    """Checkpoint ``df`` hash-partitioned and sorted by ``keys``, in a form later joins on ``keys``
+    recognise: they neither exchange nor sort it again.
+
+    Adaptive execution may merge partitions and then no longer vouches for them, so it
+    is off for this one write; ``df`` should be a plain scan or an earlier checkpoint.
+    """
+    conf, adaptive = df.sparkSession.conf, "spark.sql.adaptive.enabled"
+    before = conf.get(adaptive)
+    conf.set(adaptive, "false")
+    try:
+        return cut(df.repartition(*keys).sortWithinPartitions(*keys))
+    finally:
+        conf.set(adaptive, before)

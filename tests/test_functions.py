@@ -150,11 +150,11 @@ def test_dictionary_comments_duplicates_and_encoding(spark, tmp_path):
         dictionary.dictionary(spark, str(tmp_path), "Klingon")
 
 
-def test_large_dictionary_takes_the_salted_route(spark):
+def test_dictionaries_of_every_size_translate_alike(spark):
     lines = spark.createDataFrame([(1, "red house red"), (2, "blue  car")], "id int, line string")
     words = spark.createDataFrame([("red", "rot"), ("house", "haus")], "word string, translation string")
-    for entries in (10, 1):
-        got = project.translate(lines, "id", "line", words, broadcast_entries=entries).collect()
+    for mapped, entries in ((10, 10), (1, 10), (1, 1)):
+        got = project.translate(lines, "id", "line", words, mapped, entries).collect()
         assert sorted(got) == [(1, "rot haus rot"), (2, "blue car")]
 
 

@@ -201,11 +201,18 @@ def test_interval_join_ends_at_the_span(spark):
     assert read(spark, path) == [("a", 1), ("b", 1)]
 
 
-def test_static_join_without_broadcast(spark, monkeypatch):
-    monkeypatch.setattr(joins, "BROADCAST_ROWS", 0)
+def test_static_join_with_and_without_broadcast(spark, monkeypatch):
     rows = at(spark, (1, "a", 1), (2, "x", 1))
     names = spark.createDataFrame([("a", "Anna")], "k string, name string")
     assert joins.with_static(rows, names, ["k"]).select("v", "name").collect() == [(1, "Anna")]
+    path = scratch.new_dir(spark, "t")
+    joins.enrich(names, ["k"], ["ts"], files.per_batch(path))(rows, 0)
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 0)
+    joins.enrich(names, ["k"], ["ts"], files.per_batch(path))(rows, 1)
+    got = spark.read.parquet(path).select("v", "name", "batch_id").collect()
+    assert sorted(got) == [(1, "Anna", 0), (1, "Anna", 1)]
+    with pytest.raises(ValueError):
+        joins.with_static(rows, names, ["k"])
 
 
 def test_per_window_join(spark):
