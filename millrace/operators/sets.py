@@ -1,9 +1,10 @@
-"""Set operations. Distinct forms drop the copies on both sides before rows of
-one value meet, so many copies of a row never gather in one task."""
+"""Set operations. The distinct forms are one aggregate over both sides: copies of
+a row collapse where they are read, and one exchange serves both sides."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def union_all(*frames: DataFrame) -> DataFrame:
@@ -13,10 +14,20 @@ def union_all(*frames: DataFrame) -> DataFrame:
     return first
 
 
+def _sides(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Every distinct row of either side with the sides it occurs on. Nulls are equal here."""
+    tagged = left.withColumn("_left", F.lit(True)).unionByName(
+        right.select(*left.columns).withColumn("_left", F.lit(False))
+    )
+    return tagged.groupBy(*left.columns).agg(
+        F.bool_or("_left").alias("_in_left"), F.bool_or(~F.col("_left")).alias("_in_right")
+    )
+
+
 def intersect(left: DataFrame, right: DataFrame) -> DataFrame:
-    return left.distinct().intersect(right.distinct())
+    return _sides(left, right).where("_in_left AND _in_right").select(*left.columns)
 
 
 def subtract(left: DataFrame, right: DataFrame) -> DataFrame:
     """Distinct left rows that do not occur on the right."""
-    return left.distinct().subtract(right.distinct())
+    return _sides(left, right).where("_in_left AND NOT _in_right").select(*left.columns)

@@ -31,6 +31,14 @@ def hot_keys(df: DataFrame, keys: Sequence[str], support: float = SUPPORT) -> Da
     )
 
 
+def will_broadcast(df: DataFrame) -> bool:
+    """Whether Spark's own size estimate of ``df`` is below its broadcast threshold."""
+    session = df.sparkSession._jsparkSession
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    limit = session.sessionState().conf().autoBroadcastJoinThreshold()
+    return int(str(size)) <= limit
+
+
 def _flag(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> DataFrame:
     marked = F.broadcast(hot.withColumn("_hot", F.lit(True)))
     return df.join(marked, list(keys), "left")
@@ -49,7 +57,8 @@ def salted_join(
 ) -> DataFrame:
     """Equi-join whose left side may pile up on a few keys.
 
-    Left rows of a hot key are spread over ``salts`` partitions by ``spread_by``
+    A right side small enough for Spark to broadcast needs no exchange, so nothing is
+    salted. Otherwise left rows of a hot key are spread over ``salts`` partitions by ``spread_by``
     (columns that tell its rows apart); the right rows of those keys, and only
     those, are repeated once per salt. Exact for inner, left, semi and anti joins,
     whatever the hot keys are. Finding them reads the left side's keys once more: where
@@ -58,6 +67,8 @@ def salted_join(
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"salting keeps {how!r} joins exact only from the left side")
     keys = list(keys)
+    if will_broadcast(right):
+        return _ordered(left.join(right, keys, how), left, right, keys, how)
     hot = hot_keys(left, keys, support) if hot is None else hot
     # a null key matches nothing, so its rows may go anywhere
     unmatched = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
@@ -72,6 +83,13 @@ def salted_join(
     )
     salted_right = _flag(right, hot, keys).withColumn("_salt", F.explode(copies))
     joined = salted_left.drop("_hot").join(salted_right.drop("_hot"), [*keys, "_salt"], how)
+    return _ordered(joined, left, right, keys, how)
+
+
+def _ordered(
+    joined: DataFrame, left: DataFrame, right: DataFrame, keys: Sequence[str], how: str
+) -> DataFrame:
+    """The left columns as they were, then what the right side adds."""
     added = [] if how in ("left_semi", "left_anti") else [c for c in right.columns if c not in keys]
     return joined.select(*left.columns, *added)
 

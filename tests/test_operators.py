@@ -43,31 +43,52 @@ def test_hot_keys_hold_every_frequent_key_and_stay_few(skewed):
     assert 0 in found and len(found) <= 10
 
 
+@pytest.fixture
+def no_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_salted_join_equals_plain_join(skewed, dimension, how):
+def test_salted_join_equals_plain_join(skewed, dimension, no_broadcast, how):
     salted = salted_join(skewed, dimension, ["k"], how, spread_by=["id"], support=0.05, salts=7)
     plain = skewed.join(dimension, ["k"], how)
     assert sorted(salted.select(*plain.columns).collect(), key=repr) == sorted(plain.collect(), key=repr)
 
 
-def test_salted_join_spreads_the_hot_key(spark, skewed, dimension):
+def test_salted_join_spreads_the_hot_key(spark, skewed, dimension, no_broadcast):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         joined = salted_join(skewed, dimension, ["k"], spread_by=["id"], support=0.1, salts=16)
         parts = joined.where("k = 0").select(F.spark_partition_id()).distinct().count()
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert parts > 1
 
 
+def test_small_right_side_is_broadcast_unsalted(skewed, dimension, capsys):
+    small = dimension.where("k < 3")
+    salted_join(skewed, small, ["k"], spread_by=["id"]).explain()
+    plan = capsys.readouterr().out
+    assert "BroadcastHashJoin" in plan and "_salt" not in plan
+
+
+def test_set_forms_treat_nulls_as_equal_and_use_one_exchange(spark, capsys):
+    a = spark.createDataFrame([(1, None), (1, None), (2, "x"), (3, "y")], "i int, s string")
+    b = spark.createDataFrame([(1, None), (3, "y"), (4, "z")], "i int, s string")
+    assert sets.intersect(a, b).exceptAll(a.intersect(b)).isEmpty() and sets.intersect(a, b).count() == 2
+    assert sets.subtract(a, b).collect() == [(2, "x")]
+    sets.subtract(a, b).explain()
+    assert capsys.readouterr().out.count("Exchange") == 1
+
+
 def test_salting_refuses_full_joins(skewed, dimension):
     with pytest.raises(ValueError):
         salted_join(skewed, dimension, ["k"], "full", spread_by=["id"])
 
 
-def test_exclusive_keeps_duplicates_unlike_the_set_forms(spark):
+def test_exclusive_keeps_duplicates_unlike_the_set_forms(spark, no_broadcast):
     left = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b"), (4, "c"), (5, "c")], "id int, k string")
     right = spark.createDataFrame([("b",), ("b",)], "k string")
     only = joins.exclusive(left, right, ["k"], ["id"])
@@ -75,7 +96,7 @@ def test_exclusive_keeps_duplicates_unlike_the_set_forms(spark):
     assert sorted(r["k"] for r in sets.subtract(left.select("k"), right).collect()) == ["a", "c"]
 
 
-def test_cogroup_chunks_cover_both_sides(spark):
+def test_cogroup_chunks_cover_both_sides(spark, no_broadcast):
     left = spark.createDataFrame([(i, "hot", f"l{i}") for i in range(100)] + [(200, "left", "x")], "id long, k string, v string")
     right = spark.createDataFrame([(i, "hot", f"r{i}") for i in range(60)] + [(300, "right", "y")], "id long, k string, v string")
     rows = joins.cogroup(left, right, "k", "v", "id", chunk_rows=20).collect()
@@ -227,7 +248,7 @@ def test_constant_column_statistics(spark):
     assert all(r[0][0] == 0.0 for r in scaled)  # a constant has no scale
 
 
-def test_matrix_cells_sum_duplicates_and_multiply(spark):
+def test_matrix_cells_sum_duplicates_and_multiply(spark, no_broadcast):
     entries = spark.createDataFrame([(0, 0, 1.0), (0, 0, 2.0), (0, 1, 4.0), (1, 1, 5.0)], "i long, j long, v double")
     assert sorted(features.cells(entries).collect()) == [(0, 0, 3.0), (0, 1, 4.0), (1, 1, 5.0)]
     vector = spark.createDataFrame([(0, 10.0), (1, 1.0)], "j long, x double")
@@ -294,7 +315,7 @@ def test_kmeans_decay(spark):
     assert steady == [([1.25], 4.0), ([10.0], 1.0), ([100.0], 1.0)]
 
 
-def test_graph_drops_unknown_friends_and_counts_repeats(spark):  # ghost has no user record
+def test_graph_drops_unknown_friends_and_counts_repeats(spark, no_broadcast):  # ghost has no user record
     adjacency = spark.createDataFrame(
         [("a", ["b", "b", "ghost"]), ("b", ["a", "c"]), ("c", []), ("d", ["a"])], "user string, friends array<string>"
     )
