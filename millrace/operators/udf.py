@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator, Mapping
 
 import pandas as pd
@@ -61,8 +62,8 @@ def running_stats_udaf(df: DataFrame, key: str, volume: str, price: str, limit:
 
 
 def pipe_lines(df: DataFrame, col: str, command: str) -> DataFrame:
-    """Send a text column through an external line command, one process per partition."""
-    view = "millrace_pipe_input"
+    """Send a column of single lines through an external command, one process per partition."""
+    view = f"pipe_{uuid.uuid4().hex}"
     df.select(F.col(col).alias("line")).createOrReplaceTempView(view)
     quoted = command.replace("\\", "\\\\").replace("'", "\\'")
     try:

@@ -41,10 +41,20 @@ def day_slices(df: DataFrame, ts: str, n: int = SLICES) -> list[DataFrame]:
 
 
 def drain(writer: DataStreamWriter, checkpoint: str) -> list:
-    """Run until everything that has landed is processed; returns the progress reports."""
-    query = (
-        writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    )
+    """Run until everything that has landed is processed; returns the progress reports.
+
+    The number of state partitions is fixed with the first run of a checkpoint, and each
+    is a store of its own: no more are made than twice the cores there are.
+    """
+    spark, partitions = SparkSession.active(), "spark.sql.shuffle.partitions"
+    configured = int(spark.conf.get(partitions))
+    spark.conf.set(partitions, min(configured, 2 * spark.sparkContext.defaultParallelism))
+    try:  # a query keeps the settings it is started with
+        query = (
+            writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        )
+    finally:
+        spark.conf.set(partitions, configured)
     query.awaitTermination()
     return query.recentProgress
 
