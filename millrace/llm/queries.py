@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.llm import substring, suffixes
+from millrace.llm import exact, mixing, near, quality, substring, suffixes
 from millrace.plans.base import Cases, table
 
 CASES = Cases()
@@ -14,6 +14,48 @@ _WORDS = r"""
     worded AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents)
 """
 
+#: SQL for a text with A-Z lower-cased
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+@CASES.query(
+    "op1_exact_dedup",
+    f"""
+    WITH hashed AS (SELECT doc_id, {_LOWER} AS body FROM documents),
+    grouped AS (SELECT body, max(doc_id) AS keep_id, count(*) AS group_size FROM hashed GROUP BY body)
+    SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(body) AS text_sha256
+    FROM hashed JOIN grouped USING (body)
+    """,
+)
+def op1_exact_dedup(spark, sf_dir):
+    return exact.dedup(table(spark, sf_dir, "documents"))
+
+
+@CASES.query("op2_quality_gbt")
+def op2_quality_gbt(spark, sf_dir):
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@CASES.query(
+    "op3_minhash_forest",
+    rf"""
+    WITH RECURSIVE worded AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS ws FROM documents),
+    shingles AS (SELECT DISTINCT doc_id, array_to_string(ws[s:s + 4], ' ') AS k
+                 FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 2))) AS s FROM worded WHERE len(ws) > 0)),
+    sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+    shared AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c
+               FROM shingles a JOIN shingles b ON a.k = b.k AND a.doc_id <> b.doc_id GROUP BY ALL),
+    links AS (SELECT x, y FROM shared JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+              WHERE 100 * c >= 75 * (p.n + q.n - c)),
+    reach AS (SELECT doc_id AS x, doc_id AS y FROM documents UNION SELECT r.x, l.y FROM reach r JOIN links l ON l.x = r.y)
+    SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
+    FROM documents d LEFT JOIN sizes USING (doc_id)
+         JOIN (SELECT x AS doc_id, min(y) AS component_id FROM reach GROUP BY x) USING (doc_id)
+    """,
+)
+def op3_minhash_forest(spark, sf_dir):
+    return near.near_duplicates(table(spark, sf_dir, "documents"))
+
 
 @CASES.query(
     "op5_substring_dedup",
@@ -60,3 +102,28 @@ def op5_substring_dedup(spark, sf_dir):
 def op7_suffix_dedup(spark, sf_dir):
     kept = suffixes.remove_repeats(table(spark, sf_dir, "documents"), width=50)
     return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@CASES.query(
+    "op9_source_mix",
+    rf"""
+    WITH sized AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+                          md5('17:' || coalesce(doc_id::VARCHAR, '')) AS digest FROM documents),
+    by_source AS (SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source),
+    weighed AS (SELECT *, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS w, source_size * 3 AS cap FROM by_source),
+    levelled AS (SELECT *, (sum(source_size) OVER () - coalesce(sum(cap) OVER (ORDER BY cap / w, source NULLS LAST
+                               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::DOUBLE
+                           / sum(w) OVER (ORDER BY cap / w, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)::DOUBLE
+                           AS own FROM weighed),
+    goals AS (SELECT source, source_size, least(cap::DOUBLE, w * arg_min(own, cap / w) FILTER (own * w <= cap) OVER ()) AS target
+              FROM levelled),
+    line AS (SELECT doc_id, source, size,
+                    sum(size) OVER (PARTITION BY source ORDER BY digest, doc_id, size) - size AS start FROM sized)
+    SELECT doc_id, size, source_size, target,
+           (floor(target)::BIGINT // greatest(source_size, 1) * size
+            + greatest(0, least(start + size, floor(target)::BIGINT % greatest(source_size, 1)) - start))::BIGINT AS taken
+    FROM line l JOIN goals g ON l.source IS NOT DISTINCT FROM g.source
+    """,
+)
+def op9_source_mix(spark, sf_dir):
+    return mixing.mix(table(spark, sf_dir, "documents"))
