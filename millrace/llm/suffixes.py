@@ -29,7 +29,8 @@ from millrace.llm import text as T
 _BYTES = T.mix(np.arange(1001, 1257, dtype=np.uint64))
 _NOBODY = np.iinfo(np.int64).max
 _WHOLE = np.uint32(0xFFFFFFFF)
-CHUNKS_PER_RANGE = 2
+#: Hash ranges in which suffixes are sorted, for each chunk: a range has about a megabyte of runs.
+SORTS_PER_CHUNK = 2
 
 KEPT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
 
@@ -159,14 +160,14 @@ def two_stage(padded: np.ndarray, stop: np.ndarray, wanted: np.ndarray, width: i
     ``width`` bytes at least, so suffixes that agree on them are neighbours. Suffixes smaller than their successors
     are sorted directly; the rest follow from the order of their successors, first byte by first byte.
     """
-    place = np.arange(len(padded))
+    place = np.arange(len(padded), dtype=np.int32)
     ends_text = place + 1 >= stop
     following = np.append(padded[1:], np.uint8(0))
     decides = ends_text | (padded != following)
-    turn = np.minimum.accumulate(np.where(decides, place, len(padded) - 1)[::-1])[::-1]
+    turn = np.minimum.accumulate(np.where(decides, place, np.int32(len(padded) - 1))[::-1])[::-1]
     rising = (~ends_text & (padded < following))[turn]
     # a falling suffix needs its successor's rank, down to the next rising one or the end of its text
-    goal = np.minimum.accumulate(np.where(rising | ends_text, place, len(padded) - 1)[::-1])[::-1]
+    goal = np.minimum.accumulate(np.where(rising | ends_text, place, np.int32(len(padded) - 1))[::-1])[::-1]
     reach = np.zeros(len(padded) + 1, np.int32)
     last = wanted[~rising[wanted]]
     np.add.at(reach, last, 1)
@@ -211,6 +212,7 @@ def _mark(width: int):
     pad = width + 16
 
     def marks(table: pa.Table) -> pa.Table:
+        # at most 31 windows a run, so every array here is a small multiple of the range's bytes
         size, row = C.unpack(table, "size", np.uint8)
         size = size.astype(np.int64)
         owner, _ = C.unpack(table, "owner", np.int64)
@@ -221,7 +223,7 @@ def _mark(width: int):
         inside = np.arange(len(body)) - np.repeat(np.cumsum(size) - size, size)
         padded = np.zeros(int((size + pad).sum()) + 16, np.uint8)
         padded[begin[context] + inside] = body
-        stop = np.append(np.repeat(begin + size, size + pad), np.full(16, len(padded)))
+        stop = np.append(np.repeat((begin + size).astype(np.int32), size + pad), np.full(16, len(padded), np.int32))
         starts = inside + width <= size[context]
         context, inside = context[starts], inside[starts]
         place = begin[context] + inside
@@ -297,7 +299,7 @@ def remove_repeats(docs: DataFrame, width: int = 50, id_col: str = "doc_id", tex
     n = C.ranges(stored)
     anchors = stored.mapInArrow(_screen(n, width), "range long, chunk long, hashes binary")
     shared = anchors.groupBy("range").applyInArrow(_shared, "chunk long, hits binary")
-    n_sort = C.ranges(stored, CHUNKS_PER_RANGE)
+    n_sort = max(n, stored.count() * SORTS_PER_CHUNK)
     sent = C.beside(stored, shared, _send(n, n_sort, width), "range long, chunk long, owner binary, first binary, size binary, body binary, own binary")
     marked = sent.groupBy("range").applyInArrow(_mark(width), "chunk long, marks binary, own binary")
     return C.beside(stored, marked, _remove(width), KEPT)
