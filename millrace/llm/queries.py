@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.llm import exact, mixing, near, quality, substring, suffixes
+from millrace.llm import attribution, exact, mixing, near, quality, substring, suffixes, templates, training_order
 from millrace.plans.base import Cases, table
 
 CASES = Cases()
@@ -127,3 +127,21 @@ def op7_suffix_dedup(spark, sf_dir):
 )
 def op9_source_mix(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+@CASES.query("op4_training_order")
+def op4_training_order(spark, sf_dir):
+    path = training_order.new_path(spark)
+    training_order.materialise(table(spark, sf_dir, "documents"), path)
+    records = training_order.read(spark, path)
+    return records.select("slot", "seq", "shard", "offset", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"))
+
+
+@CASES.query("op6_token_attribution")
+def op6_token_attribution(spark, sf_dir):
+    return attribution.attribute(table(spark, sf_dir, "documents"))
+
+
+@CASES.query("op8_template_decontamination")
+def op8_template_decontamination(spark, sf_dir):
+    return templates.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
