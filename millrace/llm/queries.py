@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.llm import attribution, exact, mixing, near, quality, substring, suffixes, templates, training_order
+from millrace.llm import attribution, exact, maxent, mixing, near, quality, substring, suffixes, templates, training_order
 from millrace.plans.base import Cases, table
 
 CASES = Cases()
@@ -145,3 +145,8 @@ def op6_token_attribution(spark, sf_dir):
 @CASES.query("op8_template_decontamination")
 def op8_template_decontamination(spark, sf_dir):
     return templates.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@CASES.query("op10_maxent_scores")
+def op10_maxent_scores(spark, sf_dir):
+    return maxent.score(table(spark, sf_dir, "documents"))
