@@ -21,7 +21,7 @@ from millrace.scratch import new_dir
 SAMPLE = 40_000
 TREES, DEPTH, BINS, RATE = 80, 4, 64, 0.15
 #: Least sum of second derivatives in a leaf, and the L2 penalty of its value.
-LEAF, PENALTY = 3.0, 1.0
+LEAF, PENALTY = 0.5, 1.0
 
 _SINGLE = b"#$%&*|!?.,;:'\"-_/\\=@<>{}[]()+~^`"
 _KIND = np.full(256, 6, np.int64)
@@ -109,7 +109,7 @@ def fit(rows: np.ndarray, labels: np.ndarray) -> Trees:
     base = float(np.log((share + 1e-6) / (1 - share + 1e-6)))
     feature, threshold = np.zeros((TREES, inner), np.int64), np.full((TREES, inner), np.inf, np.float32)
     leaf = np.zeros((TREES, inner + 1))
-    if not 0 < share < 1:
+    if not len(labels) or not 0 < share < 1:
         return Trees(base, feature[:0], threshold[:0], leaf[:0])
     edges = [np.unique(np.quantile(rows[:, j], np.linspace(0, 1, BINS + 1)[1:-1]).astype(np.float32)) for j in range(rows.shape[1])]
     binned = np.stack([np.searchsorted(e, rows[:, j], "left") for j, e in enumerate(edges)], 1)
@@ -150,10 +150,14 @@ def _measure(batches):
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(blobs, pa.binary())], ["doc_id", "statistics"])
 
 
+def _matrix(column) -> np.ndarray:
+    return np.frombuffer(b"".join(x.as_py() for x in column), np.float32).reshape(len(column), FEATURES)
+
+
 def _scored(trees: Trees):
     def scored(batches):
         for batch in batches:
-            rows = np.frombuffer(b"".join(x.as_py() for x in batch.column("statistics")), np.float32).reshape(-1, FEATURES)
+            rows = _matrix(batch.column("statistics"))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(trees.score(rows))], ["doc_id", "score"])
 
     return scored
@@ -185,7 +189,6 @@ def classify(
     share = min(1.0, sample / max(1, known.count()))
     drawn = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30)))
     rows = measured.join(drawn, "doc_id").select("doc_id", "statistics", "label").toArrow().sort_by("doc_id")
-    blobs = b"".join(x.as_py() for x in rows.column("statistics"))
-    trees = fit(np.frombuffer(blobs, np.float32).reshape(-1, FEATURES), (rows.column("label").to_numpy() == 1).astype(float))
+    trees = fit(_matrix(rows.column("statistics")), (rows.column("label").to_numpy() == 1).astype(float))
     scored = measured.mapInArrow(_scored(trees), "doc_id long, score double")
     return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= cut).cast("int").alias("predicted"))

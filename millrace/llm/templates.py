@@ -100,8 +100,9 @@ class Items:
     """One block of the benchmark: windows by hash, and the canonical words of its items."""
 
     def __init__(self, ids: list[int], texts: list[str], width: int):
-        data, ends = T.column_bytes(pa.array(texts, pa.string()))
-        self.ids, self.width = ids, width
+        # once more in lower case: copies in capitals, or with every word a sentence, show no names
+        data, ends = T.column_bytes(pa.array([*texts, *(t.lower() for t in texts)], pa.string()))
+        self.ids, self.width = ids + ids, width
         self.hashes, self.kind, self.value, self.words = canonical(data, ends)
         self.length = np.diff(self.words)
         self.tables = {}
@@ -159,7 +160,8 @@ def _search(items: Items, coverage: float):
                 last = max(first + 1, int(np.searchsorted(ends, ends[first] + (2 << 20), "right")) - 1)
                 part = items.matches(data[ends[first] : ends[last]], ends[first : last + 1] - ends[first])
                 for doc, shares in part.items():
-                    hit[first + doc] = {items.ids[i]: share for i, share in shares.items() if share >= coverage}
+                    enough = sorted((share, i) for i, share in shares.items() if share >= coverage)
+                    hit[first + doc] = {items.ids[i]: share for share, i in enough}
                 first = last
             yield pa.RecordBatch.from_arrays(
                 [
