@@ -4,7 +4,7 @@
 2. Sums over chunks give every chunk its place in one long stream, cut into sequences of ``length`` tokens.
 3. A keyed Feistel network permutes sequence numbers; numbers it sends beyond the last sequence walk on until they fall
    inside (cycle-walking), so slots are a permutation of 0 .. n - 1 computable, and invertible, anywhere.
-4. One exchange by slot range; each range writes one shard: records of ``length`` ids and a closing line feed, in slot order. Slot s
+4. One exchange by slot range, of what each chunk holds of the range, compressed; each range places it and writes one shard: records of ``length`` ids and a closing line feed, in slot order. Slot s
    stands at a fixed byte of a known file, so a reader resumes anywhere and reads on sequentially.
 """
 
@@ -27,6 +27,7 @@ from millrace.scratch import new_dir
 
 LENGTH = 1024
 ROUNDS = 6
+#: Bytes of a shard, which a task holds while it places the pieces.
 SHARD_BYTES = 64 << 20
 
 
@@ -75,49 +76,59 @@ def _encode(vocabulary: bytes, limit: int):
     return encoded
 
 
-def _pieces(n: int, length: int, key: int, kind: np.dtype):
+def _pieces(n: int, shards: int, length: int, key: int, kind: np.dtype):
+    """What a chunk holds of each shard, in one row: slots, places within them, sizes and the compressed ids."""
+
     def cut(batches):
         for batch in batches:
             for i in range(batch.num_rows):
-                body = batch.column("body")[i].as_py()
+                ids = np.frombuffer(batch.column("body")[i].as_buffer(), kind)
                 at = batch.column("at")[i].as_py()
-                count = len(body) // kind.itemsize
                 first = at // length
-                edges = np.arange(first, (at + count - 1) // length + 2) * length - at
-                edges = np.clip(edges, 0, count)
+                edges = np.clip(np.arange(first, (at + len(ids) - 1) // length + 2) * length - at, 0, len(ids))
                 slots = permute(np.arange(first, first + len(edges) - 1), n, key)
                 places = np.zeros(len(slots), np.int32)
                 places[0] = at - first * length
-                spans = [body[a * kind.itemsize : b * kind.itemsize] for a, b in zip(edges[:-1], edges[1:])]
-                yield pa.RecordBatch.from_arrays([pa.array(slots), pa.array(places), pa.array(spans, pa.binary())], ["slot", "place", "ids"])
+                sizes = np.diff(edges).astype(np.int32)
+                shard = slots * shards // n
+                order = np.argsort(shard, kind="stable")
+                full, begin = np.unique(shard[order], return_index=True)
+                rows = np.split(order, begin[1:])
+                bodies = [pa.compress(np.concatenate([ids[edges[k] : edges[k + 1]] for k in row]).tobytes(), "zstd", asbytes=True) for row in rows]
+                packed = lambda values: pa.array([values[row].tobytes() for row in rows], pa.binary())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(full), packed(slots), packed(places), packed(sizes), pa.array(bodies, pa.binary())],
+                    ["shard", "slots", "places", "sizes", "ids"],
+                )
 
     return cut
 
 
-def _records(length: int, end: int, kind: np.dtype):
-    stride = length * kind.itemsize
-
-    def joined(batches):
-        slot, held, out = None, [], []
-
-        def closed():
-            body = b"".join(held)
-            return body + np.full((stride - len(body)) // kind.itemsize, end, kind).tobytes()
+def _records(manifest: dict, kind: np.dtype):
+    """The records of the one shard that a task holds. Every piece has its place, so nothing is sorted."""
+    length = manifest["length"]
 
+    def placed(batches):
+        out = None
         for batch in batches:
-            for s, ids in zip(batch.column("slot").to_pylist(), batch.column("ids").to_pylist()):
-                if s != slot:
-                    if held:
-                        out.append(closed())
-                    slot, held = s, []
-                held.append(ids)
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["record"])
-                out = []
-        if held:
-            yield pa.RecordBatch.from_arrays([pa.array([closed()], pa.binary())], ["record"])
-
-    return joined
+            for i in range(batch.num_rows):
+                if out is None:
+                    shard = batch.column("shard")[i].as_py()
+                    begin, stop = first_slot(shard, manifest), first_slot(shard + 1, manifest)
+                    out = np.full((stop - begin) * length, manifest["end"], kind)
+                slots, places, sizes = (
+                    np.frombuffer(batch.column(c)[i].as_buffer(), k) for c, k in (("slots", np.int64), ("places", np.int32), ("sizes", np.int32))
+                )
+                body = pa.decompress(batch.column("ids")[i].as_buffer(), int(sizes.sum()) * kind.itemsize, "zstd")
+                ids, ends = np.frombuffer(body, kind), np.cumsum(sizes)
+                for at, low, high in zip((slots - begin) * length + places, ends - sizes, ends):
+                    out[at : at + high - low] = ids[low:high]
+        if out is not None:
+            for low in range(0, len(out), 1024 * length):
+                part = out[low : low + 1024 * length].reshape(-1, length)
+                yield pa.RecordBatch.from_arrays([pa.array([record.tobytes() for record in part], pa.binary())], ["record"])
+
+    return placed
 
 
 def materialise(
@@ -157,10 +168,9 @@ def materialise(
         (
             stored.select("chunk", "body")
             .join(places, "chunk")
-            .mapInArrow(_pieces(n, length, key, coder.kind), "slot long, place int, ids binary")
-            .repartitionById(shards, F.expr(f"cast(slot * {shards} div {n} as int)"))
-            .sortWithinPartitions("slot", "place")
-            .mapInArrow(_records(length, coder.end, coder.kind), "record binary")
+            .mapInArrow(_pieces(n, shards, length, key, coder.kind), "shard long, slots binary, places binary, sizes binary, ids binary")
+            .repartitionById(shards, F.col("shard").cast("int"))
+            .mapInArrow(_records(manifest, coder.kind), "record binary")
             .select(F.col("record").cast("string").alias("value"))
             .write.option("lineSep", "\n")
             .text(f"{path}/shards")
