@@ -51,14 +51,14 @@ def translate_words(text: Text, dictionary: Mapping[str, str]) -> Column:
 
 def matches_any_phrase(text: Text, phrases: Iterable[str]) -> Column:
     """True where all words of one phrase occur, in any order and case."""
-    present = F.split(F.lower(_col(text)), r"\s+")
+    wanted = [p.lower().split() for p in phrases]
 
-    def phrase(p: str) -> Column:
-        return reduce(
-            lambda a, b: a & b, [F.array_contains(present, w) for w in p.lower().split()]
-        )
+    def matches(present: Column) -> Column:
+        phrase = lambda ws: reduce(lambda a, b: a & b, [F.array_contains(present, w) for w in ws])
+        return reduce(lambda a, b: a | b, map(phrase, wanted))
 
-    return reduce(lambda a, b: a | b, [phrase(p) for p in phrases])
+    # a lambda variable, so the text is split once, not once per word
+    return F.transform(F.array(F.split(F.lower(_col(text)), r"\s+")), matches)[0]
 
 
 def csv_line(*cols: Text) -> Column:

@@ -24,10 +24,18 @@ def average_by_key(df: DataFrame, keys: Sequence[str], value: Column, name: str)
 
 
 def first_by(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """The record with the least ``order`` per key: a combinable minimum, not a ranked window."""
+    """The record with the least ``order`` per key: a combinable minimum, not a ranked window.
+
+    A null in ``order`` comes last; ties are settled by the other columns.
+    """
     rest = [c for c in df.columns if c not in keys and c not in order]
-    least = F.min(F.struct(*order, *rest)).alias("r")
-    return df.groupBy(*keys).agg(least).select(*keys, "r.*")
+    least = F.min(_nulls_last(order, rest)).alias("r")
+    return df.groupBy(*keys).agg(least).select(*keys, *[F.col(f"r.{c}").alias(c) for c in [*order, *rest]])
+
+
+def _nulls_last(order: Sequence[str], rest: Sequence[str]) -> Column:
+    flags = [x for c in order for x in (F.col(c).isNull().alias(f"_no_{c}"), F.col(c))]
+    return F.struct(*flags, *rest)
 
 
 def first_per_partition(df: DataFrame, order: Sequence[str]) -> DataFrame:
@@ -35,8 +43,8 @@ def first_per_partition(df: DataFrame, order: Sequence[str]) -> DataFrame:
     rest = [c for c in df.columns if c not in order]
     return (
         df.groupBy(F.spark_partition_id().alias("partition"))
-        .agg(F.min(F.struct(*order, *rest)).alias("r"))
-        .select("partition", "r.*")
+        .agg(F.min(_nulls_last(order, rest)).alias("r"))
+        .select("partition", *[F.col(f"r.{c}").alias(c) for c in [*order, *rest]])
     )
 
 
@@ -65,14 +73,15 @@ def frequent_items(df: DataFrame, col: str, support: float) -> DataFrame:
     return counts.where(F.col("n") >= F.lit(support) * total)
 
 
-def crosstab(df: DataFrame, row: str, col: str, limit: int = 1000) -> DataFrame:
-    """Contingency table: wide while ``col`` has at most ``limit`` values, long beyond that."""
-    counts = df.groupBy(row, col).agg(F.count(F.lit(1)).alias("n"))
-    values = [r[0] for r in df.select(col).distinct().limit(limit + 1).collect()]
-    if len(values) > limit:
-        return counts
+def crosstab(df: DataFrame, row: str, col: str) -> DataFrame:
+    """Contingency table, long: one row ``(row, col, n)`` per cell that occurs."""
+    return df.groupBy(row, col).agg(F.count(F.lit(1)).alias("n"))
+
+
+def crosstab_wide(df: DataFrame, row: str, col: str, values: Sequence[object]) -> DataFrame:
+    """Contingency table with one column for each of the ``values`` of ``col`` that the caller names; others are not counted."""
     # pivot the counts, not the rows: at most one row per cell is left to move
-    return counts.groupBy(row).pivot(col, sorted(values, key=str)).sum("n").fillna(0)
+    return crosstab(df, row, col).groupBy(row).pivot(col, list(values)).sum("n").fillna(0)
 
 
 def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from millrace import scratch
-from millrace.operators.skew import SALTS, hot_keys, salted_join
+from millrace.operators.skew import SALTS, TARGET_BYTES, estimated_bytes, hot_keys, salted_join, will_broadcast
 
 RESET = 0.15
 
@@ -21,19 +23,21 @@ def subgraph(edge_list: DataFrame, vertices: DataFrame) -> DataFrame:
     known = vertices.select("id").distinct()
     starts = known.withColumnRenamed("id", "src")
     ends = known.withColumnRenamed("id", "dst")
-    hot_ends = hot_keys(edge_list, ["dst"])
     inside = salted_join(edge_list, starts, ["src"], "left_semi", spread_by=["dst"])
-    return salted_join(inside, ends, ["dst"], "left_semi", spread_by=["src"], hot=hot_ends)
+    if will_broadcast(ends) or estimated_bytes(edge_list) <= TARGET_BYTES:
+        return inside.join(ends, "dst", "left_semi").select("src", "dst")
+    return salted_join(inside, ends, ["dst"], "left_semi", spread_by=["src"], hot=hot_keys(edge_list, ["dst"]))
 
 
 def pagerank(
     edge_list: DataFrame,
     vertices: DataFrame,
     tolerance: float | None = 1e-4,
-    max_rounds: int = 100,
+    max_rounds: int | None = None,
     salts: int = SALTS,
 ) -> DataFrame:
-    """``rank = 0.15 + 0.85 · Σ rank(src) / outdegree(src)`` from rank 1 on, until no rank moves by more than ``tolerance`` (or for exactly ``max_rounds`` rounds without one).
+    """``rank = 0.15 + 0.85 · Σ rank(src) / outdegree(src)`` from rank 1 on, until no rank moves by more than ``tolerance``,
+    or for exactly ``max_rounds`` rounds where ``tolerance`` is None. With both, ranks that still move after the last round are an error.
 
     Repeated edges are folded into a weight, edges are laid out once by source, and a
     source with very many edges is spread over ``salts`` partitions, its rank being
@@ -56,7 +60,9 @@ def pagerank(
     )
 
     ranks = nodes.select("id", "degree", "copies", F.lit(1.0).alias("rank"))
-    for _ in range(max_rounds):
+    if tolerance is None and max_rounds is None:
+        raise ValueError("a tolerance or a number of rounds is needed")
+    for _ in count() if max_rounds is None else range(max_rounds):
         shares = ranks.where("degree > 0").select(
             F.col("id").alias("src"),
             F.explode("copies").alias("salt"),
@@ -81,6 +87,9 @@ def pagerank(
         ranks = scratch.cut(stepped.observe(progress, move)).drop("before")
         if tolerance is not None and (progress.get["move"] or 0.0) <= tolerance:
             break
+    else:
+        if tolerance is not None:
+            raise RuntimeError(f"ranks still move by more than {tolerance} after {max_rounds} rounds")
     return ranks.select("id", "rank")
 
 

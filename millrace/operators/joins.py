@@ -27,6 +27,13 @@ def exclusive(left: DataFrame, right: DataFrame, keys: Sequence[str], spread_by:
     )
 
 
+def exclusive_sides(rows: DataFrame, side: str, keys: Sequence[str], spread_by: Sequence[str]) -> DataFrame:
+    """Rows, duplicates included, whose key occurs with one value of ``side`` only: ``exclusive`` in every direction
+    from one aggregate and one join. A null key is like no other and stays."""
+    shared = rows.groupBy(*keys).agg(F.min(side).alias("_a"), F.max(side).alias("_b")).where("_a <> _b")
+    return salted_join(rows, shared.select(*keys), keys, "left_anti", spread_by=spread_by)
+
+
 def left_outer_default(
     left: DataFrame, right: DataFrame, keys: Sequence[str], defaults: dict[str, object]
 ) -> DataFrame:

@@ -9,47 +9,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import text
+from millrace.operators.skew import salted_join
 
-#: A dictionary up to this size becomes a map inside the plan: no join, no exchange.
-MAP_ENTRIES = 200
-#: A dictionary up to this size may be held by every executor.
-BROADCAST_ENTRIES = 500_000
 
+def translate(lines: DataFrame, id_col: str, text_col: str, dictionary: DataFrame) -> DataFrame:
+    """Replace each word by its dictionary entry; unknown words and word order stay, a null text stays null.
 
-def translate(
-    lines: DataFrame,
-    id_col: str,
-    text_col: str,
-    dictionary: DataFrame,
-    map_entries: int = MAP_ENTRIES,
-    broadcast_entries: int = BROADCAST_ENTRIES,
-) -> DataFrame:
-    """Replace each word by its dictionary entry; unknown words and word order stay.
-
-    ``dictionary`` has one row ``(word, translation)`` per word, ``id_col`` is unique.
-    A dictionary of a few words is looked up in place. For a larger one the lines are
-    partitioned by id *before* they are split, so the words are put together again
-    without a second exchange; beyond ``broadcast_entries`` it is joined by a salted
-    exchange on the word, because a few words make up much of any text.
+    ``dictionary`` has one row ``(word, translation)`` per word. The words are joined with it (a few words make up
+    much of any text, so hot ones are salted where Spark will not broadcast it) and put together again by row, so
+    rows that share an id stay apart.
     """
-    known = dictionary.limit(map_entries + 1).collect()
-    if len(known) <= map_entries:
-        lookup = {row["word"]: row["translation"] for row in known}
-        return lines.select(id_col, text.translate_words(text_col, lookup).alias("translated"))
-    placed = lines.select(id_col, text_col).repartition(id_col)
-    split = placed.select(id_col, F.posexplode(text.words(text_col)).alias("pos", "word"))
-    small = dictionary.limit(broadcast_entries + 1).count() <= broadcast_entries
-    if small:
-        found = split.join(F.broadcast(dictionary), "word", "left")
-    else:
-        from millrace.operators.skew import salted_join
-
-        found = salted_join(split, dictionary, ["word"], "left", spread_by=[id_col, "pos"])
-    word = F.struct("pos", F.coalesce("translation", "word").alias("out"))
-    return found.groupBy(id_col).agg(
-        F.array_join(
-            F.transform(F.array_sort(F.collect_list(word)), lambda w: w["out"]), " "
-        ).alias("translated")
+    placed = lines.select(F.monotonically_increasing_id().alias("_row"), id_col, text_col)
+    split = placed.select("_row", id_col, F.posexplode_outer(text.words(text_col)).alias("pos", "word"))
+    found = salted_join(split, dictionary, ["word"], "left", spread_by=["_row", "pos"])
+    word = F.when(F.col("pos").isNotNull(), F.struct("pos", F.coalesce("translation", "word").alias("out")))
+    return (
+        found.groupBy("_row", id_col)
+        .agg(F.count("pos").alias("n"), F.collect_list(word).alias("words"))
+        .select(
+            id_col,
+            F.when(F.col("n") > 0, F.array_join(F.transform(F.array_sort("words"), lambda w: w["out"]), " ")).alias("translated"),
+        )
     )
 
 

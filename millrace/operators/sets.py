@@ -31,3 +31,9 @@ def intersect(left: DataFrame, right: DataFrame) -> DataFrame:
 def subtract(left: DataFrame, right: DataFrame) -> DataFrame:
     """Distinct left rows that do not occur on the right."""
     return _sides(left, right).where("_in_left AND NOT _in_right").select(*left.columns)
+
+
+def differences(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Distinct rows of one side only, with ``side`` (``first`` or ``second``): both directions from one aggregate."""
+    side = F.when(F.col("_in_left"), F.lit("first")).otherwise(F.lit("second")).alias("side")
+    return _sides(left, right).where("_in_left <> _in_right").select(*left.columns, side)

@@ -56,10 +56,6 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str], method: str) -> DataF
     return df.sparkSession.createDataFrame(cells, "i string, j string, r double")
 
 
-#: Distinct values up to this number may be sent to every executor with their ranks.
-BROADCAST_VALUES = 1_000_000
-
-
 def _counted_values(df: DataFrame, col: str) -> DataFrame:
     """Distinct values with their number of rows, laid out in ascending ranges of the value."""
     counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
@@ -87,16 +83,13 @@ def average_ranks(df: DataFrame, col: str) -> DataFrame:
 
 
 def _as_ranks(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Replace each value by its average rank. The ranks of a column are broadcast if it has few
-    distinct values; otherwise they are joined by value, with frequent values spread out."""
+    """Replace each value by its average rank, joined by value; frequent values are spread out where Spark will not
+    broadcast the ranks."""
     rows = df.withColumn("_row", F.monotonically_increasing_id())
     for c in cols:
         counted = _counted_values(df, c)
         ranks = _ranks_of(counted, c).select(c, F.col("rank").alias(f"_{c}"))
-        if counted.limit(BROADCAST_VALUES + 1).count() <= BROADCAST_VALUES:
-            rows = rows.join(F.broadcast(ranks), c)
-        else:
-            rows = salted_join(rows, ranks, [c], spread_by=["_row"])
+        rows = salted_join(rows, ranks, [c], spread_by=["_row"])
     return rows.select(*[F.col(f"_{c}").alias(c) for c in cols])
 
 

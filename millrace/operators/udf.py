@@ -1,37 +1,33 @@
-"""User functions: Arrow scalar functions for SQL, combinable aggregates, external commands."""
+"""User functions: lookups registered for SQL, combinable aggregates, external commands."""
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: A lookup table captured by a function travels to every Python worker.
-CAPTURED_ENTRIES = 100_000
-
-
-def captured_map(df: DataFrame, key: str, value: str, limit: int = CAPTURED_ENTRIES) -> dict:
-    """Two columns of a small table as a dict; refuses a table that has outgrown ``limit``."""
-    rows = df.select(key, value).limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} entries: use operators.joins.lookup_chain")
-    return {row[0]: row[1] for row in rows}
-
 
 def register_lookup(
-    spark: SparkSession, name: str, first: Mapping, second: Mapping, default: str = "NotFound"
+    spark: SparkSession, name: str, first: DataFrame, second: DataFrame, default: str = "NotFound"
 ) -> None:
-    """Register SQL function ``name(code)``: code → first → second, else ``default``."""
-    resolved = {code: second.get(via, default) for code, via in first.items()}
+    """Register SQL function ``name(code)``: code → first → second, else ``default``.
 
-    @F.pandas_udf("string")
-    def lookup(codes: pd.Series) -> pd.Series:
-        return codes.map(resolved).fillna(default)
-
-    spark.udf.register(name, lookup)
+    ``first`` has columns ``(code, via)`` and ``second`` ``(via, name)``, whatever they are called; a code occurs
+    once. The function captures the tables themselves, not their rows: a call is planned as a join with them,
+    broadcast or shuffled as their size asks.
+    """
+    view = f"lookup_{uuid.uuid4().hex}"
+    code, via = first.columns
+    resolved = first.toDF("code", "via").join(second.toDF("via", "name"), "via").select("code", "name")
+    resolved.createOrReplaceTempView(view)
+    kind = first.schema[code].dataType.simpleString()
+    spark.sql(
+        f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(wanted {kind}) RETURNS STRING "
+        f"RETURN coalesce((SELECT max(name) FROM {view} WHERE code = wanted), '{default}')"
+    )
 
 
 _PARTIAL = "key string, low long, high long, over long"
@@ -47,7 +43,7 @@ def running_stats_udaf(df: DataFrame, key: str, volume: str, price: str, limit:
     def partials(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             over = batch.assign(over=(batch["price"] > limit).astype("int64"))
-            yield over.groupby("key", as_index=False).agg(
+            yield over.groupby("key", as_index=False, dropna=False).agg(
                 low=("volume", "min"), high=("volume", "max"), over=("over", "sum")
             )
 

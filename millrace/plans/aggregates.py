@@ -219,17 +219,25 @@ def cov(spark: SparkSession, sf: str) -> DataFrame:
     return pairs.select(F.round("cov", 9).alias("cov"))
 
 
+PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
+
+
+@CASES.query(
+    "stat_crosstab_long",
+    "SELECT o_orderstatus, o_orderpriority, count(*) AS n FROM orders GROUP BY ALL",
+)
+def crosstab_long(spark: SparkSession, sf: str) -> DataFrame:
+    return aggregate.crosstab(table(spark, sf, "orders"), "o_orderstatus", "o_orderpriority")
+
+
 @CASES.query(
     "stat_crosstab",
     """SELECT o_orderstatus, """
-    + ", ".join(
-        f"""count(*) FILTER (WHERE o_orderpriority = '{p}') AS "{p}" """
-        for p in ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
-    )
+    + ", ".join(f"""count(*) FILTER (WHERE o_orderpriority = '{p}') AS "{p}" """ for p in PRIORITIES)
     + " FROM orders GROUP BY o_orderstatus",
 )
 def crosstab(spark: SparkSession, sf: str) -> DataFrame:
-    return aggregate.crosstab(table(spark, sf, "orders"), "o_orderstatus", "o_orderpriority")
+    return aggregate.crosstab_wide(table(spark, sf, "orders"), "o_orderstatus", "o_orderpriority", PRIORITIES)
 
 
 @CASES.query(

@@ -77,7 +77,7 @@ def stream_interval(spark: SparkSession, sf: str) -> DataFrame:
     "join_cogroup",
     """WITH t AS (SELECT user_id, event_id, event_type = 'view' AS v FROM events WHERE event_type IN ('view', 'purchase')),
             n AS (SELECT user_id, count(*) AS n FROM t GROUP BY user_id)
-       SELECT t.user_id, CAST(event_id % CAST(ceil(n / 32.0) AS BIGINT) AS BIGINT) AS chunk,
+       SELECT t.user_id, CAST(CAST('0x' || substr(md5(CAST(event_id AS VARCHAR)), 1, 8) AS BIGINT) % CAST(ceil(n / 32.0) AS BIGINT) AS BIGINT) AS chunk,
               coalesce(string_agg(CAST(event_id AS VARCHAR), ' ' ORDER BY event_id) FILTER (WHERE v), '') AS views,
               coalesce(string_agg(CAST(event_id AS VARCHAR), ' ' ORDER BY event_id) FILTER (WHERE NOT v), '') AS purchases
        FROM t JOIN n ON n.user_id = t.user_id GROUP BY 1, 2""",
@@ -132,15 +132,11 @@ def _visit() -> Column:
 def left_anti(spark: SparkSession, sf: str) -> DataFrame:
     """Visits reached through one kind of referrer only, in both directions, duplicates kept."""
     rows = events(spark, sf).select("event_id", "event_type", _visit().alias("visit"))
-    search = rows.where(F.col("event_type").isin("click", "view"))
-    social = rows.where(F.col("event_type").isin("signup", "error"))
-    only = [
-        joins.exclusive(a, b, ["visit"], spread_by=["event_id"]).select(
-            F.lit(name).alias("channel"), "event_id"
-        )
-        for name, a, b in (("search", search, social), ("social", social, search))
-    ]
-    return sets.union_all(*only)
+    channel = F.when(F.col("event_type").isin("click", "view"), "search").when(
+        F.col("event_type").isin("signup", "error"), "social"
+    )
+    sided = rows.withColumn("channel", channel).where("channel IS NOT NULL")
+    return joins.exclusive_sides(sided, "channel", ["visit"], spread_by=["event_id"]).select("channel", "event_id")
 
 
 @CASES.query(
@@ -180,8 +176,8 @@ def lookup_chain(spark: SparkSession, sf: str) -> DataFrame:
 @CASES.query("udf_lookup", _NAMED)
 def udf_lookup(spark: SparkSession, sf: str) -> DataFrame:
     """The same chain as a function registered for SQL."""
-    first = udf.captured_map(table(spark, sf, "nation"), "n_nationkey", "n_regionkey")
-    second = udf.captured_map(table(spark, sf, "region"), "r_regionkey", "r_name")
+    first = table(spark, sf, "nation").select("n_nationkey", "n_regionkey")
+    second = table(spark, sf, "region").select("r_regionkey", "r_name")
     udf.register_lookup(spark, "country_name", first, second)
     return spark.sql(
         f"SELECT c_custkey, country_name({_CODE}) AS name FROM {{customer}}",
@@ -264,10 +260,7 @@ def except_both(spark: SparkSession, sf: str) -> DataFrame:
     lines = table(spark, sf, "lineitem")
     a = lines.where("l_discount > 0.05").select("l_suppkey", "l_linenumber")
     b = lines.where("l_tax > 0.05 AND l_quantity > 40").select("l_suppkey", "l_linenumber")
-    return sets.union_all(
-        sets.subtract(a, b).withColumn("side", F.lit("first")),
-        sets.subtract(b, a).withColumn("side", F.lit("second")),
-    )
+    return sets.differences(a, b)
 
 
 @CASES.query("smp_sample")

@@ -66,12 +66,11 @@ def tokens_array(spark: SparkSession, sf: str) -> DataFrame:
 
 @CASES.query(
     "prj_tokens_flat",
-    f"""SELECT doc_id, token, count(*) AS n
-        FROM (SELECT doc_id, unnest({TOKENS}) AS token FROM documents) GROUP BY ALL""",
+    f"""SELECT doc_id, CAST(unnest(range(len(t))) AS INTEGER) AS pos, unnest(t) AS token
+        FROM (SELECT doc_id, {TOKENS} AS t FROM documents)""",
 )
 def tokens_flat(spark: SparkSession, sf: str) -> DataFrame:
-    flat = table(spark, sf, "documents").select("doc_id", F.explode(X.tokens("text")).alias("token"))
-    return flat.groupBy("doc_id", "token").agg(F.count(F.lit(1)).alias("n"))
+    return table(spark, sf, "documents").select("doc_id", F.posexplode(X.tokens("text")).alias("pos", "token"))
 
 
 @CASES.query("flt_eq", "SELECT event_id, user_id FROM events WHERE event_type = 'purchase'")

@@ -33,10 +33,9 @@ def stream_text(spark: SparkSession, sf: str) -> DataFrame:
     landing, out, checkpoint = (
         scratch.new_dir(spark, name) for name in ("text-in", "text-out", "text-checkpoint")
     )
-    last = docs.agg(F.max("doc_id")).first()[0]
-    third = last // 3 + 1
-    for first in (0, third, 2 * third):
-        part = docs.where((F.col("doc_id") >= first) & (F.col("doc_id") < first + third))
+    third = F.pmod(F.coalesce("doc_id", F.lit(0)), F.lit(3))
+    for number in range(3):
+        part = docs.where(third == number)
         part.select("text").write.mode("append").text(landing)
         drain(
             text.stream_lines(spark, landing).writeStream.format("parquet").option("path", out), checkpoint
@@ -149,7 +148,7 @@ def saved_table(spark: SparkSession, sf: str) -> DataFrame:
 def multi_union(spark: SparkSession, sf: str) -> DataFrame:
     path, inputs = scratch.new_dir(spark, "inputs"), 4
     rows = events(spark, sf).select("event_id", "user_id", "event_type")
-    rows.withColumn("input", F.pmod("event_id", F.lit(inputs))).write.partitionBy("input").parquet(path)
+    rows.withColumn("input", F.pmod(F.coalesce("event_id", F.lit(0)), F.lit(inputs))).write.partitionBy("input").parquet(path)
     return text.merged(
         [
             lambda i=i: spark.read.schema(rows.schema).parquet(f"{path}/input={i}")

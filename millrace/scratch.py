@@ -1,7 +1,7 @@
 """Shared scratch space: landed files, sink output, stream and RDD checkpoints.
 
 Everything goes below ``spark.checkpoint.dir``, the folder every executor can
-reach. Only a session without that setting (a test) gets a folder of its own.
+reach. Only a session on one machine without that setting (a test) gets a folder of its own.
 """
 
 from __future__ import annotations
@@ -15,8 +15,12 @@ from pyspark.sql import DataFrame, SparkSession
 def root(spark: SparkSession) -> str:
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        shared = tempfile.mkdtemp(prefix="millrace-")
-        spark.conf.set("spark.checkpoint.dir", shared)
+        context = spark.sparkContext
+        if context.getCheckpointDir() is None:
+            if not context.master.startswith("local"):
+                raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+            context.setCheckpointDir(tempfile.mkdtemp(prefix="millrace-"))
+        shared = context.getCheckpointDir()
     return shared.rstrip("/")
 
 

@@ -43,7 +43,8 @@ class UpsertLog:
 
 
 def newest(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """The row with the greatest ``order`` per key."""
+    """The row with the greatest ``order`` per key; a null comes before all values, ties are settled by the whole row."""
     rest = [c for c in df.columns if c not in keys]
-    best = F.max_by(F.struct(*rest), F.struct(*order) if len(order) > 1 else F.col(order[0]))
+    # a struct is never null, so a key whose rows have no order still keeps one of them
+    best = F.max_by(F.struct(*rest), F.struct(*order, F.to_json(F.struct(*rest))))
     return df.groupBy(*keys).agg(best.alias("r")).select(*keys, "r.*").select(*df.columns)

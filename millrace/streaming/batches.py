@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators import layout
-from millrace.operators.joins import exclusive
+from millrace.operators.joins import exclusive_sides
 from millrace.sinks.files import BatchFn, batch_dir, per_batch
 
 
@@ -48,16 +48,10 @@ def exclusive_counts(
 
     def step(df: DataFrame, batch_id: int) -> None:
         def write(rows: DataFrame) -> None:
-            one = rows.where(F.col(channel).isin(*first))
-            two = rows.where(F.col(channel).isin(*second))
-            count = F.count(F.lit(1))
-            only_one = exclusive(one, two, [key], [row_id]).agg(count.alias("only_first"))
-            only_two = exclusive(two, one, [key], [row_id]).agg(count.alias("only_second"))
-            both = only_one.select("only_first", F.lit(0).cast("long").alias("only_second")).unionByName(
-                only_two.select(F.lit(0).cast("long").alias("only_first"), "only_second")
-            )
-            both.agg(
-                F.sum("only_first").alias("only_first"), F.sum("only_second").alias("only_second")
+            sided = rows.withColumn("_first", F.col(channel).isin(*first))
+            alone = exclusive_sides(sided, "_first", [key], [row_id])
+            alone.agg(
+                F.count_if("_first").alias("only_first"), F.count_if(~F.col("_first")).alias("only_second")
             ).write.mode("overwrite").parquet(batch_dir(path, batch_id))
 
         tracked = df.where(F.col(channel).isin(*first, *second)).select(row_id, channel, key)

@@ -10,9 +10,6 @@ from pyspark.sql import functions as F
 from millrace.operators.skew import salted_join
 from millrace.sinks.files import BatchFn
 
-#: A static table up to this many rows may be sent to every executor.
-BROADCAST_ROWS = 200_000
-
 
 def within(
     left: DataFrame, right: DataFrame, left_key: str, right_key: str, left_ts: str, right_ts: str, span: str
@@ -36,24 +33,11 @@ def per_window(left: DataFrame, right: DataFrame, keys: Sequence[str], ts: str,
     return left.withColumn("bucket", F.window(ts, length)).join(right, [*keys, "bucket"], "inner")
 
 
-def with_static(stream: DataFrame, table: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Stream ⋈ static table that is sent to every executor; refused once the table has outgrown
-    ``BROADCAST_ROWS``. ``enrich`` takes tables of any size."""
-    if table.limit(BROADCAST_ROWS + 1).count() > BROADCAST_ROWS:
-        raise ValueError(f"more than {BROADCAST_ROWS} rows: use enrich")
-    return stream.join(F.broadcast(table), list(keys), "inner")
-
-
 def enrich(table: DataFrame, keys: Sequence[str], spread_by: Sequence[str], write: BatchFn) -> BatchFn:
-    """Per-batch form of stream ⋈ static: the table is broadcast while its counted size allows it,
-    beyond that batch and table are shuffled, with the batch's hot keys spread out."""
-    small = table.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    """Per-batch form of stream ⋈ static: the table is broadcast while Spark's own estimate allows it, judged anew for
+    every batch; beyond that batch and table are shuffled, with the batch's hot keys spread out."""
 
     def step(df: DataFrame, batch_id: int) -> None:
-        if small:
-            joined = df.join(F.broadcast(table), list(keys), "inner")
-        else:
-            joined = salted_join(df, table, keys, spread_by=spread_by)
-        write(joined, batch_id)
+        write(salted_join(df, table, keys, spread_by=spread_by), batch_id)
 
     return step

@@ -23,38 +23,35 @@ SLICES = 3
 def day_bounds(df: DataFrame, ts: str, n: int) -> list[datetime]:
     """``n + 1`` midnights that cut the days of ``df`` into ``n`` ranges of whole days.
 
-    Day ``d`` (zero-based, of ``days``) belongs to range ``d * n // days``.
+    Day ``d`` (zero-based, of ``days``) belongs to range ``d * n // days``. Without times there are no bounds.
     """
     lo, hi = df.agg(F.min(ts), F.max(ts)).first()
+    if lo is None:
+        return []
     start = lo.replace(hour=0, minute=0, second=0, microsecond=0)
     days = (hi.replace(hour=0, minute=0, second=0, microsecond=0) - start).days + 1
     return [start + timedelta(days=-(-i * days // n)) for i in range(n + 1)]
 
 
 def day_slices(df: DataFrame, ts: str, n: int = SLICES) -> list[DataFrame]:
-    """The table cut along time; each slice is a range filter the scan can skip files with."""
+    """The table cut along time; each slice is a range filter the scan can skip files with.
+
+    Rows without a time come first.
+    """
     bounds = day_bounds(df, ts, n)
-    return [
-        df.where((F.col(ts) >= F.lit(a).cast("timestamp_ntz")) & (F.col(ts) < F.lit(b).cast("timestamp_ntz")))
-        for a, b in zip(bounds, bounds[1:])
-    ]
+    if not bounds:
+        return [df, *[df.limit(0)] * (n - 1)]
+    at = lambda moment: F.lit(moment).cast("timestamp_ntz")
+    first = df.where(F.col(ts).isNull() | (F.col(ts) < at(bounds[1])))
+    return [first, *[df.where((F.col(ts) >= at(a)) & (F.col(ts) < at(b))) for a, b in zip(bounds[1:], bounds[2:])]]
 
 
 def drain(writer: DataStreamWriter, checkpoint: str) -> list:
     """Run until everything that has landed is processed; returns the progress reports.
 
-    The number of state partitions is fixed with the first run of a checkpoint, and each
-    is a store of its own: no more are made than twice the cores there are.
+    The number of state partitions is the session's, and fixed with the first run of a checkpoint.
     """
-    spark, partitions = SparkSession.active(), "spark.sql.shuffle.partitions"
-    configured = int(spark.conf.get(partitions))
-    spark.conf.set(partitions, min(configured, 2 * spark.sparkContext.defaultParallelism))
-    try:  # a query keeps the settings it is started with
-        query = (
-            writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-        )
-    finally:
-        spark.conf.set(partitions, configured)
+    query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
     return query.recentProgress
 

@@ -150,12 +150,17 @@ def test_dictionary_comments_duplicates_and_encoding(spark, tmp_path):
         dictionary.dictionary(spark, str(tmp_path), "Klingon")
 
 
-def test_dictionaries_of_every_size_translate_alike(spark):
-    lines = spark.createDataFrame([(1, "red house red"), (2, "blue  car")], "id int, line string")
+@pytest.mark.parametrize("threshold", ["10m", "-1"])
+def test_translation_keeps_every_line(spark, threshold):
+    rows = [(1, "red house red"), (2, "blue  car"), (3, None), (4, ""), (5, "red"), (5, "red house")]
+    lines = spark.createDataFrame(rows, "id int, line string")
     words = spark.createDataFrame([("red", "rot"), ("house", "haus")], "word string, translation string")
-    for mapped, entries in ((10, 10), (1, 10), (1, 1)):
-        got = project.translate(lines, "id", "line", words, mapped, entries).collect()
-        assert sorted(got) == [(1, "rot haus rot"), (2, "blue car")]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        got = project.translate(lines, "id", "line", words).collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sorted(got, key=repr) == [(1, "rot haus rot"), (2, "blue car"), (3, None), (4, ""), (5, "rot haus"), (5, "rot")]
 
 
 def test_envelope_decodes_bytes(spark):

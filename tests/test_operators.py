@@ -1,7 +1,11 @@
 """Joins, aggregates, sets, samples, statistics, models and the graph on small inputs."""
 
 import math
+import os
 import random
+import subprocess
+import sys
+import tempfile
 
 import numpy as np
 import pytest
@@ -94,6 +98,10 @@ def test_exclusive_keeps_duplicates_unlike_the_set_forms(spark, no_broadcast):
     only = joins.exclusive(left, right, ["k"], ["id"])
     assert sorted(r["k"] for r in only.collect()) == ["a", "a", "c", "c"]
     assert sorted(r["k"] for r in sets.subtract(left.select("k"), right).collect()) == ["a", "c"]
+    both = sets.differences(left.select("k"), spark.createDataFrame([("b",), ("d",), (None,)], "k string"))
+    assert set(both.collect()) == {("a", "first"), ("c", "first"), ("d", "second"), (None, "second")}
+    sided = left.withColumn("side", F.col("id") % 2).unionByName(spark.createDataFrame([(9, None, 1), (10, None, 0)], "id int, k string, side int"))
+    assert sorted(r["id"] for r in joins.exclusive_sides(sided, "side", ["k"], ["id"]).collect()) == [3, 9, 10]
 
 
 def test_cogroup_chunks_cover_both_sides(spark, no_broadcast):
@@ -109,6 +117,9 @@ def test_cogroup_chunks_cover_both_sides(spark, no_broadcast):
     assert sorted(gathered["hot"][0]) == sorted(f"l{i}" for i in range(100))
     assert sorted(gathered["hot"][1]) == sorted(f"r{i}" for i in range(60))
     assert gathered["left"] == (["x"], []) and gathered["right"] == ([], ["y"])
+    stepped = spark.range(0, 3200, 8).select("id", F.lit("k").alias("k"), F.col("id").cast("string").alias("v"))
+    sizes = [len(r["left_values"]) for r in joins.cogroup(stepped, stepped.limit(0), "k", "v", "id", chunk_rows=50).collect()]
+    assert sum(sizes) == 400 and len(sizes) == 8 and max(sizes) < 100
 
 
 def test_left_outer_default_and_lookup_chain(spark, dimension):
@@ -122,12 +133,10 @@ def test_lookup_function_and_join_agree(spark):
     first = spark.createDataFrame([(49, "DE"), (33, "FR"), (1, "XX")], "code int, via string")
     second = spark.createDataFrame([("DE", "Germany"), ("FR", "France")], "via string, name string")
     joined = joins.lookup_chain(facts, first, second, "code", "via", "name", ["id"]).select("id", "name")
-    udf.register_lookup(spark, "cn", udf.captured_map(first, "code", "via"), udf.captured_map(second, "via", "name"))
+    udf.register_lookup(spark, "cn", first, second)
     called = spark.sql("SELECT id, cn(code) AS name FROM {f}", f=facts)
     want = [(1, "Germany"), (2, "France"), (3, "NotFound"), (4, "NotFound")]
     assert sorted(joined.collect()) == want == sorted(called.collect())
-    with pytest.raises(ValueError):
-        udf.captured_map(first, "code", "via", limit=2)
 
 
 def test_grouping_then_summing_equals_combining(skewed):
@@ -152,6 +161,8 @@ def test_average_is_true_division(spark):
 def test_first_by_and_first_per_partition(spark):
     df = spark.createDataFrame([("a", 3, "x"), ("a", 1, "y"), ("b", 2, "z")], "k string, t int, v string")
     assert sorted(aggregate.first_by(df, ["k"], ["t"]).collect()) == [("a", 1, "y"), ("b", 2, "z")]
+    odd = spark.createDataFrame([("a", None, "n"), ("a", 5, "y"), ("a", 5, "x"), (None, None, "z")], "k string, t int, v string")
+    assert set(aggregate.first_by(odd, ["k"], ["t"]).collect()) == {("a", 5, "x"), (None, None, "z")}
     spread = df.repartition(8, "k")  # most partitions are empty
     assert len(aggregate.first_per_partition(spread, ["t"]).collect()) <= 2
 
@@ -168,12 +179,12 @@ def test_frequent_items_sketch_holds_the_exact_ones(spark, sf):
     assert exact and exact <= sketch
 
 
-def test_crosstab_goes_long_beyond_the_limit(spark):
-    df = spark.createDataFrame([("a", i) for i in range(5)] + [("b", 0)], "r string, c int")
-    wide = aggregate.crosstab(df, "r", "c")
-    assert wide.columns == ["r", "0", "1", "2", "3", "4"]
-    assert {tuple(r) for r in wide.collect()} == {("a", 1, 1, 1, 1, 1), ("b", 1, 0, 0, 0, 0)}
-    assert aggregate.crosstab(df, "r", "c", limit=3).columns == ["r", "c", "n"]
+def test_crosstab_is_long_for_any_number_of_values(spark):
+    df = spark.createDataFrame([("a", i) for i in range(1001)] + [("b", 0), ("b", None)], "r string, c int")
+    cells = aggregate.crosstab(df, "r", "c")
+    assert cells.columns == ["r", "c", "n"] and cells.count() == 1003
+    wide = aggregate.crosstab_wide(df, "r", "c", [0, 1])
+    assert wide.columns == ["r", "0", "1"] and {tuple(r) for r in wide.collect()} == {("a", 1, 1), ("b", 1, 0)}
 
 
 def test_rollup_and_cube_null_placement(spark):
@@ -227,13 +238,16 @@ def test_average_ranks_share_ties(spark):
     assert ranks == {1: 1.0, 2: 2.5, 5: 5.0}
 
 
-def test_correlation_of_many_distinct_values(spark, monkeypatch):
+def test_correlation_of_many_distinct_values(spark):
     rng = random.Random(3)
     rows = [(x := rng.random(), x**3 + rng.random() / 10) for _ in range(300)]
     df = spark.createDataFrame(rows, "a double, b double")
     small = {(r["i"], r["j"]): r["r"] for r in stats.correlation_matrix(df, ["a", "b"], "spearman").collect()}
-    monkeypatch.setattr(stats, "BROADCAST_VALUES", 10)
-    large = {(r["i"], r["j"]): r["r"] for r in stats.correlation_matrix(df, ["a", "b"], "spearman").collect()}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        large = {(r["i"], r["j"]): r["r"] for r in stats.correlation_matrix(df, ["a", "b"], "spearman").collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     a, b = (np.argsort(np.argsort([r[i] for r in rows])) for i in (0, 1))
     assert math.isclose(small["a", "b"], np.corrcoef(a, b)[0, 1], abs_tol=1e-9)
     assert math.isclose(small["a", "b"], large["a", "b"], abs_tol=1e-9)
@@ -331,6 +345,15 @@ def test_graph_drops_unknown_friends_and_counts_repeats(spark, no_broadcast):  #
     assert top.collect()[-1] == ("z", 0.0)
 
 
+def test_ranks_are_never_returned_before_they_settle(spark):
+    chain = spark.createDataFrame([(0, 1), (1, 0), (1, 2), (2, 0)], "src int, dst int")
+    users = spark.range(3).select(F.col("id").cast("int"))
+    with pytest.raises(RuntimeError):
+        graph.pagerank(chain, users, tolerance=1e-9, max_rounds=2)
+    with pytest.raises(ValueError):
+        graph.pagerank(chain, users, tolerance=None)
+
+
 def test_ranks_of_a_closed_graph_sum_to_its_size(spark):
     ring = spark.createDataFrame([(i, (i + 1) % 7) for i in range(7)] + [(0, 3)], "src int, dst int")
     users = spark.range(7).select(F.col("id").cast("int"))
@@ -338,6 +361,21 @@ def test_ranks_of_a_closed_graph_sum_to_its_size(spark):
     assert math.isclose(total, 7.0, abs_tol=1e-4)
 
 
+def test_scratch_without_a_configured_folder():
+    code = """
+from pyspark.sql import SparkSession
+from millrace import scratch
+spark = SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false").getOrCreate()
+assert spark.conf.get("spark.checkpoint.dir", None) is None
+assert scratch.cut(spark.range(3)).count() == 3
+assert scratch.new_dir(spark, "a").rsplit("/", 1)[0] == scratch.new_dir(spark, "b").rsplit("/", 1)[0]
+"""
+    plain = {k: v for k, v in os.environ.items() if k not in ("SPARK_CONF_DIR", "PYSPARK_SUBMIT_ARGS", "PYSPARK_GATEWAY_PORT", "PYSPARK_GATEWAY_SECRET")}
+    with tempfile.TemporaryDirectory() as empty:
+        run = subprocess.run([sys.executable, "-c", code], env=plain | {"SPARK_CONF_DIR": empty}, cwd=os.path.dirname(os.path.dirname(__file__)), capture_output=True, text=True)
+    assert run.returncode == 0, run.stderr[-2000:]
+
+
 def test_scratch_lives_below_the_shared_folder(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     assert scratch.new_dir(spark, "x").startswith(shared) and scratch.new_dir(spark, "x") != scratch.new_dir(spark, "x")

@@ -38,6 +38,10 @@ def test_day_slices_cover_every_row_once(spark, sf):
     assert len(day_bounds(events, "ts", 4)) == 5
     assert sum(s.count() for s in slices) == events.count()
     assert all(s.count() > 0 for s in slices)
+    timeless = events.limit(3).withColumn("ts", F.lit(None).cast("timestamp_ntz"))
+    assert sum(s.count() for s in day_slices(events.unionByName(timeless), "ts", 4)) == events.count() + 3
+    assert [s.count() for s in day_slices(timeless, "ts", 3)] == [3, 0, 0]
+    assert [s.count() for s in day_slices(events.limit(0), "ts", 3)] == [0, 0, 0]
 
 
 def test_restart_reads_only_new_files(spark, tmp_path):
@@ -201,18 +205,18 @@ def test_interval_join_ends_at_the_span(spark):
     assert read(spark, path) == [("a", 1), ("b", 1)]
 
 
-def test_static_join_with_and_without_broadcast(spark, monkeypatch):
+def test_static_join_with_and_without_broadcast(spark):
     rows = at(spark, (1, "a", 1), (2, "x", 1))
     names = spark.createDataFrame([("a", "Anna")], "k string, name string")
-    assert joins.with_static(rows, names, ["k"]).select("v", "name").collect() == [(1, "Anna")]
     path = scratch.new_dir(spark, "t")
     joins.enrich(names, ["k"], ["ts"], files.per_batch(path))(rows, 0)
-    monkeypatch.setattr(joins, "BROADCAST_ROWS", 0)
-    joins.enrich(names, ["k"], ["ts"], files.per_batch(path))(rows, 1)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joins.enrich(names, ["k"], ["ts"], files.per_batch(path))(rows, 1)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     got = spark.read.parquet(path).select("v", "name", "batch_id").collect()
     assert sorted(got) == [(1, "Anna", 0), (1, "Anna", 1)]
-    with pytest.raises(ValueError):
-        joins.with_static(rows, names, ["k"])
 
 
 def test_per_window_join(spark):
