@@ -45,17 +45,35 @@ def sgd_step(df: DataFrame, label: str, cols: Sequence[str], weights: Sequence[f
     return df.agg(*moved)
 
 
-def train_sgd(path: str, label: str, cols: Sequence[str], step: float = 0.0001, logistic: bool = False) -> BatchFn:
-    """Weights start at zero, one gradient step per batch, no intercept. Weights after each batch
-    are stored in ``path``. Logistic labels are 0 and 1."""
+def _parts(df: DataFrame, held_out: str | None) -> tuple[DataFrame, DataFrame]:
+    """Training and test part of a batch by an SQL condition; where it is null the row trains."""
+    if held_out is None:
+        return df, df.limit(0)
+    flag = F.coalesce(F.expr(held_out), F.lit(False))
+    return df.where(~flag), df.where(flag)
+
+
+def train_sgd(
+    path: str, label: str, cols: Sequence[str], step: float = 0.0001, logistic: bool = False, held_out: str | None = None
+) -> BatchFn:
+    """Weights start at zero, one gradient step per batch, no intercept. Logistic labels are 0 and 1.
+
+    A batch trains on its rows that are not ``held_out`` and then predicts the others. Stored in ``path`` after each batch:
+    the weights, the number of test rows ``n_test`` and their mean squared error ``mse`` (null without test rows).
+    """
+    predict = predict_logistic if logistic else predict_linear
 
     def learn(df: DataFrame, batch_id: int) -> None:
         weights = [0.0] * len(cols)
         if batch_id > 0:
             (row,) = _stored(df.sparkSession, path, batch_id - 1)
             weights = [row[c] for c in cols]
-        after = sgd_step(df, label, cols, weights, step, logistic)
-        after.write.mode("overwrite").parquet(batch_dir(path, batch_id))
+        train, test = _parts(df, held_out)
+        after = [float(x) for x in sgd_step(train, label, cols, weights, step, logistic).first()]
+        miss = F.pow(F.col("prediction") - F.col(label), 2)
+        score = predict(test, cols, after).agg(F.count(F.lit(1)).alias("n_test"), F.avg(miss).alias("mse"))
+        model = score.select(*[F.lit(w).alias(c) for c, w in zip(cols, after)], "n_test", "mse")
+        model.write.mode("overwrite").parquet(batch_dir(path, batch_id))
 
     return learn
 
@@ -90,18 +108,24 @@ def kmeans_step(df: DataFrame, features: str, centers: Sequence[Sequence[float]]
     return updated
 
 
-def train_kmeans(path: str, features: str, centers: Sequence[Sequence[float]], decay: float = 0.0) -> BatchFn:
-    """Centres after each batch are stored in ``path`` as ``(cluster, center, weight)``."""
+def train_kmeans(
+    path: str, features: str, centers: Sequence[Sequence[float]], decay: float = 0.0, held_out: str | None = None
+) -> BatchFn:
+    """A batch moves the centres by its rows that are not ``held_out`` and then assigns the others. Stored in ``path`` after
+    each batch: ``(cluster, center, weight, n_test)``, the last the test rows nearest to the centre."""
 
     def learn(df: DataFrame, batch_id: int) -> None:
         now, weights = [list(c) for c in centers], [0.0] * len(centers)
         if batch_id > 0:
             rows = sorted(_stored(df.sparkSession, path, batch_id - 1), key=lambda r: r["cluster"])
             now, weights = [r["center"] for r in rows], [r["weight"] for r in rows]
-        updated = kmeans_step(df, features, now, weights, decay)
-        model = [(i, center, weight) for i, (center, weight) in enumerate(updated)]
+        train, test = _parts(df, held_out)
+        updated = kmeans_step(train, features, now, weights, decay)
+        placed = assign(test, features, [center for center, _ in updated]).groupBy("cluster").agg(F.count(F.lit(1)).alias("n"))
+        n_test = {row["cluster"]: row["n"] for row in placed.collect()}  # one row per centre
+        model = [(i, center, weight, n_test.get(i, 0)) for i, (center, weight) in enumerate(updated)]
         df.sparkSession.createDataFrame(
-            model, "cluster int, center array<double>, weight double"
+            model, "cluster int, center array<double>, weight double, n_test long"
         ).write.mode("overwrite").parquet(batch_dir(path, batch_id))
 
     return learn
