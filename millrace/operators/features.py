@@ -73,6 +73,18 @@ def times_vector(entries: DataFrame, vector: DataFrame) -> DataFrame:
     )
 
 
+def blocks(entries: DataFrame, size: int) -> DataFrame:
+    """Block form ``(bi, bj, cells)`` of entries ``(i, j, v)``: the cells of each ``size`` by ``size`` block as sorted
+    ``(i, j, v)`` with places inside the block; at most ``size * size`` of them."""
+    at = lambda c: F.expr(f"{c} div {size}")
+    inside = F.struct(F.pmod("i", F.lit(size)).alias("i"), F.pmod("j", F.lit(size)).alias("j"), "v")
+    return (
+        cells(entries)
+        .groupBy(at("i").alias("bi"), at("j").alias("bj"))
+        .agg(F.array_sort(F.collect_list(inside)).alias("cells"))
+    )
+
+
 def row_matrix(entries: DataFrame, columns: Sequence[int]) -> DataFrame:
     """Wide form of ``cells``: one row per ``i``, one field per listed ``j``."""
     return entries.groupBy("i").pivot("j", list(columns)).sum("v").fillna(0.0)

@@ -20,7 +20,8 @@ def with_replacement(df: DataFrame, fraction: float, seed: int) -> DataFrame:
 
 
 def _bucket(row_id: Sequence[str]) -> Column:
-    return F.pmod(F.xxhash64(*row_id), F.lit(_BUCKETS))
+    text = F.concat_ws(":", *[F.col(c).cast("string") for c in row_id])
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long") % _BUCKETS
 
 
 def hashed(df: DataFrame, row_id: Sequence[str], fraction: float) -> DataFrame:

@@ -12,7 +12,7 @@ from millrace.plans.base import SLICED_EVENTS, Cases, events, k_of_props, quotes
 from millrace.sinks.files import per_batch
 from millrace.streaming import batches
 from millrace.streaming.joins import enrich, within
-from millrace.streaming.replay import day_slices, replay, replay_batches
+from millrace.plans.replay import day_slices, replay, replay_batches
 from millrace.streaming.windows import watermarked
 
 CASES = Cases()
@@ -263,13 +263,26 @@ def except_both(spark: SparkSession, sf: str) -> DataFrame:
     return sets.differences(a, b)
 
 
-@CASES.query("smp_sample")
+@CASES.query(
+    "smp_sample",
+    """SELECT event_id, event_type FROM events
+       WHERE CAST('0x' || substr(md5(CAST(event_id AS VARCHAR)), 1, 8) AS BIGINT) % 1000000 < 700000""",
+)
 def sample(spark: SparkSession, sf: str) -> DataFrame:
-    """A hashed 70 % sample and the size of a 1 % sample with replacement."""
+    """A hashed 70 % sample."""
+    return sampling.hashed(events(spark, sf).select("event_id", "event_type"), ["event_id"], 0.7)
+
+
+@CASES.query("smp_replaced", "SELECT event_type, true AS near, true AS known FROM events GROUP BY event_type")
+def sample_with_replacement(spark: SparkSession, sf: str) -> DataFrame:
+    """Per type, whether a sample with replacement of the table's size has about its share (eight deviations), of its rows only."""
     rows = events(spark, sf).select("event_id", "event_type")
-    kept = sampling.hashed(rows, ["event_id"], 0.7).withColumn("kind", F.lit("hashed"))
-    drawn = sampling.with_replacement(rows, 0.01, seed=7).withColumn("kind", F.lit("drawn"))
-    return sets.union_all(kept, drawn)
+    drawn = sampling.with_replacement(rows, 1.0, seed=7).groupBy("event_id", "event_type").agg(F.count(F.lit(1)).alias("times"))
+    both = rows.withColumn("there", F.lit(1)).join(drawn, ["event_id", "event_type"], "full")
+    per_type = both.groupBy("event_type").agg(
+        F.sum("there").alias("n"), F.sum(F.coalesce("times", F.lit(0))).alias("m"), F.bool_and(F.col("there").isNotNull()).alias("known")
+    )
+    return per_type.select("event_type", (F.abs(F.col("m") - F.col("n")) <= 8 * F.sqrt("n") + 1).alias("near"), "known")
 
 
 @CASES.query(

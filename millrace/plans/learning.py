@@ -10,7 +10,7 @@ from millrace.operators import features, models, sampling, stats
 from millrace.plans.aggregates import brand_lines
 from millrace.plans.base import SLICED_EVENTS, Cases, events, k_of_props, table
 from millrace.streaming import models as online
-from millrace.streaming.replay import SLICES, replay_batches
+from millrace.plans.replay import SLICES, replay_batches
 
 CASES = Cases()
 
@@ -62,6 +62,47 @@ def coordinate_matrix(spark: SparkSession, sf: str) -> DataFrame:
     return features.cells(entries).withColumn("v", F.round("v", 4))
 
 
+_ENTRIES = """e AS (SELECT l_suppkey AS i, l_partkey AS j, CAST(sum(l_quantity) AS DOUBLE) AS v FROM lineitem GROUP BY 1, 2)"""
+
+
+def _entries(spark: SparkSession, sf: str) -> DataFrame:
+    """Quantities by supplier and part."""
+    return _lines(spark, sf).select(F.col("l_suppkey").alias("i"), F.col("l_partkey").alias("j"), F.col("l_quantity").alias("v"))
+
+
+@CASES.query(
+    "ml_matrix_vector",
+    f"WITH {_ENTRIES} SELECT i, round(sum(v * p_retailprice), 2) AS y FROM e JOIN part ON p_partkey = j GROUP BY i",
+)
+def matrix_vector(spark: SparkSession, sf: str) -> DataFrame:
+    prices = table(spark, sf, "part").select(F.col("p_partkey").alias("j"), F.col("p_retailprice").alias("x"))
+    return features.times_vector(_entries(spark, sf), prices).withColumn("y", F.round("y", 2))
+
+
+@CASES.query(
+    "ml_block_matrix",
+    f"""WITH {_ENTRIES} SELECT i // 64 AS bi, j // 64 AS bj, count(*) AS n, round(sum(v), 2) AS total,
+                               min(i % 64 * 64 + j % 64) AS first FROM e GROUP BY 1, 2""",
+)
+def block_matrix(spark: SparkSession, sf: str) -> DataFrame:
+    """Blocks of 64 by 64, each told by its size, sum and first cell."""
+    found = features.blocks(_entries(spark, sf), 64)
+    total = F.aggregate("cells", F.lit(0.0), lambda acc, c: acc + c["v"])
+    first = F.col("cells")[0]
+    return found.select(
+        "bi", "bj", F.size("cells").cast("long").alias("n"), F.round(total, 2).alias("total"), (first["i"] * 64 + first["j"]).alias("first")
+    )
+
+
+@CASES.query(
+    "ml_indexed_rows",
+    "SELECT o_orderkey, row_number() OVER (ORDER BY o_totalprice, o_orderkey) - 1 AS row_index FROM orders",
+)
+def indexed_rows(spark: SparkSession, sf: str) -> DataFrame:
+    rows = table(spark, sf, "orders").select("o_totalprice", "o_orderkey")
+    return features.indexed_rows(rows, ["o_totalprice", "o_orderkey"]).select("o_orderkey", "row_index")
+
+
 @CASES.query(
     "ml_col_stats",
     " UNION ALL ".join(
@@ -162,14 +203,20 @@ def select_features(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@CASES.query("ml_pca")
+@CASES.query(
+    "ml_pca",
+    """SELECT vec_id, CASE WHEN vec_id % 10 < 3 THEN 'test' ELSE 'train' END AS part, CAST(32 AS INTEGER) AS dimensions,
+              true AS not_longer FROM embeddings""",
+)
 def pca(spark: SparkSession, sf: str) -> DataFrame:
-    """Half the dimensions; the squared length does not depend on the sign of a component."""
-    vectors = features.from_array(table(spark, sf, "embeddings"), "embedding")
-    projected = features.pca(vectors, 32).transform(vectors)
-    length = F.aggregate("components", F.lit(0.0), lambda acc, x: acc + x * x)
+    """Half the dimensions, fitted on the training part and applied to both; a projection is never longer than its vector."""
+    rows = sampling.label_split(table(spark, sf, "embeddings"), "vec_id", 3, 10)
+    vectors = features.from_array(rows, "embedding")
+    projected = features.pca(vectors.where("part = 'train'"), 32).transform(vectors)
+    length = lambda c: F.aggregate(c, F.lit(0.0), lambda acc, x: acc + x * x)
     return features.as_array(projected, "components").select(
-        "vec_id", F.size("components").alias("dimensions"), F.round(length, 6).alias("squared_length")
+        "vec_id", "part", F.size("components").alias("dimensions"),
+        (length("components") <= length(F.col("embedding").cast("array<double>")) * (1 + 1e-6) + 1e-6).alias("not_longer"),
     )
 
 

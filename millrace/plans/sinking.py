@@ -12,7 +12,7 @@ from millrace.plans.base import SLICED_EVENTS, Cases, events, table
 from millrace.sinks import clients, files, tables
 from millrace.sinks.upsert import UpsertLog
 from millrace.sources import text
-from millrace.streaming.replay import SLICES, day_slices, replay_batches
+from millrace.plans.replay import SLICES, day_slices, replay_batches
 
 CASES = Cases()
 

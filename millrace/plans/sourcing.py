@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from millrace import schemas, scratch
 from millrace.plans.base import Cases, events, table
 from millrace.sources import archives, dictionary, documents, envelope, text
-from millrace.streaming.replay import drain
+from millrace.plans.replay import drain
 
 CASES = Cases()
 

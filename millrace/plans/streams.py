@@ -11,7 +11,7 @@ from millrace.plans.base import SLICED_EVENTS, Cases, events, quotes
 from millrace.sinks.files import latest, per_batch
 from millrace.sinks.upsert import UpsertLog
 from millrace.streaming import batches, state, windows
-from millrace.streaming.replay import day_slices, replay, replay_batches
+from millrace.plans.replay import day_slices, replay, replay_batches
 
 CASES = Cases()
 

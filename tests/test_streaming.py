@@ -15,7 +15,7 @@ from millrace.sinks import clients, files, tables
 from millrace.sinks.upsert import UpsertLog
 from millrace.sources import text as text_source
 from millrace.streaming import batches, joins, models, state, windows
-from millrace.streaming.replay import day_bounds, day_slices, drain, replay, replay_batches
+from millrace.plans.replay import day_bounds, day_slices, drain, replay, replay_batches
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
