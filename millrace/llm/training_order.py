@@ -29,6 +29,8 @@ LENGTH = 1024
 ROUNDS = 6
 #: Bytes of a shard, which a task holds while it places the pieces.
 SHARD_BYTES = 64 << 20
+#: Bytes of ids in a stored chunk (longer chunks compress better on their way), and the level of that compression.
+CHUNK_BYTES, LEVEL = 4 << 20, 5
 
 
 def permute(numbers: np.ndarray, n: int, key: int, inverse: bool = False) -> np.ndarray:
@@ -80,6 +82,7 @@ def _pieces(n: int, shards: int, length: int, key: int, kind: np.dtype):
     """What a chunk holds of each shard, in one row: slots, places within them, sizes and the compressed ids."""
 
     def cut(batches):
+        codec = pa.Codec("zstd", compression_level=LEVEL)
         for batch in batches:
             for i in range(batch.num_rows):
                 ids = np.frombuffer(batch.column("body")[i].as_buffer(), kind)
@@ -94,7 +97,8 @@ def _pieces(n: int, shards: int, length: int, key: int, kind: np.dtype):
                 order = np.argsort(shard, kind="stable")
                 full, begin = np.unique(shard[order], return_index=True)
                 rows = np.split(order, begin[1:])
-                bodies = [pa.compress(np.concatenate([ids[edges[k] : edges[k + 1]] for k in row]).tobytes(), "zstd", asbytes=True) for row in rows]
+                joined = (np.concatenate([ids[edges[k] : edges[k + 1]] for k in row]).tobytes() for row in rows)
+                bodies = [codec.compress(body, asbytes=True) for body in joined]
                 packed = lambda values: pa.array([values[row].tobytes() for row in rows], pa.binary())
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(full), packed(slots), packed(places), packed(sizes), pa.array(bodies, pa.binary())],
@@ -145,7 +149,7 @@ def materialise(
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     name = f"token_chunks_{uuid.uuid4().hex}"
     docs.select(F.col(text_col).cast("string")).mapInArrow(
-        _encode(vocab, 2 << 20), "chunk long, n long, docs long, body binary"
+        _encode(vocab, CHUNK_BYTES), "chunk long, n long, docs long, body binary"
     ).write.bucketBy(parts, "chunk").option("compression", "zstd").saveAsTable(name)
     stored = spark.table(name)
     task = F.expr("chunk div 4294967296")
