@@ -12,6 +12,7 @@ import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,12 +50,12 @@ def unzipped(files: DataFrame) -> DataFrame:
 def _without_headers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     last = None
     for batch in batches:
-        files = batch.column("file").to_pylist()
-        keep = []
-        for name in files:
-            keep.append(name == last)
-            last = name
-        yield batch.filter(pa.array(keep, pa.bool_()))
+        if not batch.num_rows:
+            continue
+        files = batch.column("file")
+        first = pa.array([files[0].as_py() == last])
+        last = files[-1].as_py()
+        yield batch.filter(pa.concat_arrays([first, pc.equal(files[1:], files[:-1])]))
 
 
 def gzipped(spark: SparkSession, directory: str) -> DataFrame:
