@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from millrace.llm import text as T
 from millrace.scratch import new_dir
 
-#: Labelled rows to fit on, at most (about: each row is drawn by its hash).
+#: Labelled rows to fit on: ids are drawn by their hash for about so many, and at most twice as many rows are taken.
 SAMPLE = 40_000
 TREES, DEPTH, BINS, RATE = 80, 4, 64, 0.15
 #: Least sum of second derivatives in a leaf, and the L2 penalty of its value.
@@ -188,7 +188,9 @@ def classify(
     )
     share = min(1.0, sample / max(1, known.count()))
     drawn = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30)))
-    rows = measured.join(drawn, "doc_id").select("doc_id", "statistics", "label").toArrow().sort_by("doc_id")
+    # where one id has very many labels, the rows first in hash order are taken
+    joined = measured.join(drawn, "doc_id").select("doc_id", "statistics", "label")
+    rows = joined.orderBy(F.xxhash64("doc_id"), "statistics", "label").limit(2 * sample).toArrow().sort_by("doc_id")
     trees = fit(_matrix(rows.column("statistics")), (rows.column("label").to_numpy() == 1).astype(float))
     scored = measured.mapInArrow(_scored(trees), "doc_id long, score double")
     return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= cut).cast("int").alias("predicted"))

@@ -96,6 +96,20 @@ def canonical(data: np.ndarray, ends: np.ndarray):
     return np.where(kind == LITERAL, value, _SLOT[kind]), kind, value, words
 
 
+def window_keys(hashes: np.ndarray, kind: np.ndarray, value: np.ndarray, size: int) -> np.ndarray:
+    """Keys of the windows of ``size`` canonical words from every word on.
+
+    A window with too few literals must agree in its slots' values as well, so these are part of its key: a text of numbers
+    alone does not meet every list of numbers in the benchmark.
+    """
+    literals = np.concatenate(([0], np.cumsum(kind == LITERAL)))
+    place = np.arange(len(kind))
+    vague = literals[np.minimum(place + size, len(kind))] - literals[:-1] < min(LITERALS, size)
+    if not vague.any():
+        return T.rolling(hashes, size)
+    return np.where(vague, T.rolling(T.mix(hashes ^ T.mix(value)), size), T.rolling(hashes, size))
+
+
 class Items:
     """One block of the benchmark: windows by hash, and the canonical words of its items."""
 
@@ -112,7 +126,7 @@ class Items:
             if size < width:
                 fit &= np.repeat(self.length == size, self.length)
             place = np.flatnonzero(fit)
-            keys = T.rolling(self.hashes, size)[place]
+            keys = window_keys(self.hashes, self.kind, self.value, size)[place]
             order = np.argsort(keys, kind="stable")
             self.tables[size] = (keys[order], place[order])
 
@@ -121,7 +135,7 @@ class Items:
         hashes, kind, value, words = canonical(data, ends)
         found: dict = defaultdict(list)
         for size, (keys, places) in self.tables.items():
-            grams = T.rolling(hashes, size) if len(hashes) else hashes
+            grams = window_keys(hashes, kind, value, size) if len(hashes) else hashes
             for w in np.flatnonzero(T.member(grams, keys) & T.fits(words, size)):
                 doc = int(np.searchsorted(words, w, "right")) - 1
                 for p in places[np.searchsorted(keys, grams[w], "left") : np.searchsorted(keys, grams[w], "right")]:

@@ -50,6 +50,13 @@ def test_classifier_never_learns_held_out_labels(spark, odd, nothing):
     assert quality.classify(nothing, labels).collect() == []
 
 
+def test_sample_is_bounded_where_one_id_has_most_labels(spark, odd, monkeypatch):
+    taken = []
+    monkeypatch.setattr(quality, "fit", lambda rows, labels, fit=quality.fit: taken.append(len(labels)) or fit(rows, labels))
+    labels = spark.createDataFrame([(1, 1), (3, 0)], "doc_id long, quality int").crossJoin(spark.range(300)).drop("id")
+    assert quality.classify(odd, labels, sample=20).count() == odd.count() and taken[0] <= 40
+
+
 def test_scores_against_brute_force(odd, odd_rows, nothing, small_chunks):
     docs = [(r[0], WORD.findall((r[1] or "").encode().lower())) for r in odd_rows]
     counts = Counter()
@@ -114,6 +121,15 @@ def test_numbers_alone_must_be_the_same(spark):
     assert search(spark, [item, "11 21 31 41 51 61 71 81 91"], [item]) == {0: [0], 1: []}
 
 
+def test_lists_of_numbers_meet_their_equals_only():
+    items = templates.Items([0, 1], [" ".join(map(str, range(a, a + 40))) for a in (100, 300)], templates.WIDTH)
+    draw = np.random.default_rng(2)
+    text = " ".join(map(str, draw.integers(1000, 9999, 20_000))) + " " + " ".join(map(str, range(300, 340)))
+    data = np.frombuffer(text.encode(), np.uint8)
+    (found,) = items.matches(data, np.array([0, len(data)])).values()
+    assert {items.ids[i]: share for i, share in found.items()} == {1: 1.0}
+
+
 def test_short_items_blocks_and_odd_rows(spark, odd, nothing):
     items = ["two words", None, "", QUESTION, "two words"]
     assert search(spark, ["Two words", "three words", "some two words here"], items)[0] == [0, 4]
