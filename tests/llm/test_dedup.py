@@ -139,6 +139,24 @@ def test_near_in_deep_regions_and_split_clusters(spark, monkeypatch):
     got = {r.doc_id: r.component_id for r in near.near_duplicates(docs).collect()}
     want = {r[0]: r[2] for r in brute_near(rows)}
     assert got == want
+    monkeypatch.setattr(near, "SHINGLES", 900)  # two documents fill a block
+    assert {r.doc_id: r.component_id for r in near.near_duplicates(docs).collect()} == want
+
+
+def test_long_clusters_are_compared_in_blocks(spark, monkeypatch):
+    from conftest_words import family
+
+    rows = family(40)
+    docs = spark.createDataFrame([(r[0], r[1]) for r in rows], "doc_id long, text string")
+    monkeypatch.setattr(near, "SHINGLES", 1000)
+    assert Counter(map(tuple, near.near_duplicates(docs).collect())) == brute_near(rows)
+    lots = spark.createDataFrame([(1, i) for i in range(30)] + [(2, 0), (2, 5)], "lot long, doc long")
+    sizes = spark.createDataFrame([(i, 100) for i in range(30)], "doc long, n long")
+    met, rows = Counter(), near._in_blocks(lots, sizes).collect()
+    by_lot = {lot: [r.doc for r in rows if r.lot == lot] for lot in {r.lot for r in rows}}
+    for docs in by_lot.values():
+        met.update((a, b) for a in docs for b in docs if a < b)
+    assert len(by_lot) > 2 and set(met) == {(a, b) for a in range(30) for b in range(a + 1, 30)}
 
 
 def test_components(spark):
