@@ -162,3 +162,18 @@ def test_long_clusters_are_compared_in_blocks(spark, monkeypatch):
 def test_components(spark):
     edges = spark.createDataFrame([(1, 2), (2, 3), (9, 8), (8, 7), (7, 3), (20, 21), (5, 5)], "u long, v long")
     assert {tuple(r) for r in components.components(edges).collect()} == {(2, 1), (3, 1), (7, 1), (8, 1), (9, 1), (21, 20)}
+
+
+def test_components_of_a_hub_are_dealt_out(spark, monkeypatch):
+    monkeypatch.setattr(components, "PART", 10)
+    draw = np.random.default_rng(4)
+    pairs = [(i, 1) for i in range(2, 200)] + [(300 + i, 300 + i // 2) for i in range(1, 200)] + draw.integers(600, 900, (250, 2)).tolist()
+    label = list(range(1000))
+    for _ in range(1000):
+        before = label[:]
+        for a, b in pairs:
+            label[a] = label[b] = min(label[a], label[b])
+        if label == before:
+            break
+    edges = spark.createDataFrame([tuple(map(int, p)) for p in pairs], "u long, v long")
+    assert {tuple(r) for r in components.components(edges).collect()} == {(i, c) for i, c in enumerate(label) if i != c}
