@@ -102,12 +102,13 @@ def window_keys(hashes: np.ndarray, kind: np.ndarray, value: np.ndarray, size: i
     A window with too few literals must agree in its slots' values as well, so these are part of its key: a text of numbers
     alone does not meet every list of numbers in the benchmark.
     """
+    keys = T.rolling(hashes, size)
     literals = np.concatenate(([0], np.cumsum(kind == LITERAL)))
-    place = np.arange(len(kind))
-    vague = literals[np.minimum(place + size, len(kind))] - literals[:-1] < min(LITERALS, size)
-    if not vague.any():
-        return T.rolling(hashes, size)
-    return np.where(vague, T.rolling(T.mix(hashes ^ T.mix(value)), size), T.rolling(hashes, size))
+    vague = np.flatnonzero(literals[size:] - literals[: max(0, len(literals) - size)] < min(LITERALS, size))
+    if len(vague):
+        values = T.mix(value[vague[:, None] + np.arange(size)]) * T.powers(size)[:size]
+        keys[vague] = T.mix(keys[vague] ^ values.sum(1))
+    return keys
 
 
 class Items:
