@@ -1,6 +1,8 @@
 """Benchmark decontamination by template canonicalisation.
 
-Words lose the punctuation around them; numbers, names and units become typed placeholders, the rest is lower-cased.
+Words lose the punctuation around them; numbers (also in words, or with a unit glued on), names and units become typed
+placeholders, the rest is lower-cased. A capitalised word that opens a sentence may be a name: windows with it stand and are looked up
+in both forms.
 Windows of ``WIDTH`` canonical words of the benchmark form a hash table; every document's rolling windows are looked up in it.
 Windows of one document that hit one item at one distance form an alignment. Along it the slot values must agree one to one
 (the same number in the item is the same number in the document, and the other way round), so a question asked with
@@ -38,6 +40,16 @@ UNITS = (
     "month months year years % percent degree degrees c f k usd eur gbp dollar dollars euro euros cent cents pound pounds"
 ).split()
 
+#: Number words stand for their figures.
+NUMBER_WORDS = dict(
+    zip(
+        "zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen "
+        "nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion".split(),
+        map(str, [*range(20), *range(20, 101, 10), 1000, 1000000, 1000000000]),
+        strict=True,
+    )
+)
+
 
 def _bytes_in(chars: bytes) -> np.ndarray:
     table = np.zeros(256, bool)
@@ -58,8 +70,39 @@ def _hash_words(words: list[str]) -> np.ndarray:
     return T.word_hashes(data, ends[:-1], ends[1:], T.LOWER_VALUES)
 
 
+def _split_units(data: np.ndarray, low: np.ndarray, high: np.ndarray, sentence: np.ndarray, words: np.ndarray):
+    """Words that are a number and a unit, such as 5kg, as two."""
+    some = np.flatnonzero(_DIGIT[data[low]] & (_UPPER | _LOWERCASE)[data[high - 1]])
+    if not len(some):
+        return low, high, sentence, words
+    numeric = np.concatenate(([0], np.cumsum(_NUMERIC[data])))
+    letters = np.concatenate(([0], np.cumsum((_UPPER | _LOWERCASE)[data])))
+    middle = low[some] + numeric[high[some]] - numeric[low[some]]
+    fit = (numeric[middle] - numeric[low[some]] == middle - low[some]) & (letters[high[some]] - letters[middle] == high[some] - middle)
+    some, middle = some[fit], middle[fit]
+    if not len(some):
+        return low, high, sentence, words
+    size = high[some] - middle
+    at = np.concatenate(([0], np.cumsum(size)))
+    suffix = data[np.repeat(middle - at[:-1], size) + np.arange(at[-1])]
+    fit = T.member(T.word_hashes(suffix, at[:-1], at[1:], T.LOWER_VALUES), _UNITS)
+    some, middle = some[fit], middle[fit]
+    words = words + np.searchsorted(some, words)
+    last = high.copy()
+    last[some] = middle
+    return np.insert(low, some + 1, middle), np.insert(last, some + 1, high[some]), np.insert(sentence, some + 1, False), words
+
+
+_UNITS = np.sort(_hash_words(UNITS))
+_SPELT, _FIGURES = _hash_words(list(NUMBER_WORDS)), _hash_words(list(NUMBER_WORDS.values()))
+_SPELT, _FIGURES = np.sort(_SPELT), _FIGURES[np.argsort(_SPELT)]
+
+
 def canonical(data: np.ndarray, ends: np.ndarray):
-    """Canonical words of texts: their hashes, kinds, value hashes and the n + 1 word offsets of the texts."""
+    """Canonical words of texts: their hashes, kinds, value hashes, the n + 1 word offsets of the texts, and which may be names.
+
+    The last are literals by their hash and kind.
+    """
     starts, stops, words = T.word_spans(data, ends)
     sentence = np.ones(len(starts), bool)
     if len(starts) > 1:
@@ -80,7 +123,8 @@ def canonical(data: np.ndarray, ends: np.ndarray):
     words = count[words]
     low, high, sentence = low[real], high[real], sentence[real]
     if not len(low):
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.uint64), words
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.uint64), words, np.zeros(0, bool)
+    low, high, sentence, words = _split_units(data, low, high, sentence, words)
     # a word's hash reads its own bytes only
     own = np.repeat(low - np.concatenate(([0], np.cumsum(high - low)[:-1])), high - low) + np.arange(int((high - low).sum()))
     packed = data[own]
@@ -89,26 +133,46 @@ def canonical(data: np.ndarray, ends: np.ndarray):
     per_word = lambda table: np.add.reduceat(table[packed].astype(np.int32), at[:-1])
     kind = np.zeros(len(low), np.int64)
     kind[(per_word(_DIGIT) > 0) & (per_word(_NUMERIC) == high - low)] = NUMBER
-    kind[(kind == LITERAL) & _UPPER[packed[at[:-1]]] & (per_word(_LOWERCASE) > 0) & ~sentence] = NAME
+    spelt = T.member(value, _SPELT)
+    kind[spelt] = NUMBER
+    value[spelt] = _FIGURES[np.searchsorted(_SPELT, value[spelt])]
+    capital = (kind == LITERAL) & _UPPER[packed[at[:-1]]] & (per_word(_LOWERCASE) > 0)
+    kind[capital & ~sentence] = NAME
     after_number = np.concatenate(([False], kind[:-1] == NUMBER))
     after_number[words[:-1][np.diff(words) > 0]] = False
-    kind[after_number & (kind != NUMBER) & T.member(value, np.sort(_hash_words(UNITS)))] = UNIT
-    return np.where(kind == LITERAL, value, _SLOT[kind]), kind, value, words
+    kind[after_number & (kind != NUMBER) & T.member(value, _UNITS)] = UNIT
+    return np.where(kind == LITERAL, value, _SLOT[kind]), kind, value, words, capital & sentence & (kind == LITERAL)
 
 
-def window_keys(hashes: np.ndarray, kind: np.ndarray, value: np.ndarray, size: int) -> np.ndarray:
-    """Keys of the windows of ``size`` canonical words from every word on.
+def window_keys(hashes: np.ndarray, kind: np.ndarray, value: np.ndarray, maybe: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of the windows of ``size`` canonical words from every word on, and where these are; a window that holds words that
+    may be names has a key for every choice.
 
     A window with too few literals must agree in its slots' values as well, so these are part of its key: a text of numbers
     alone does not meet every list of numbers in the benchmark.
     """
-    keys = T.rolling(hashes, size)
+    keys, place = T.rolling(hashes, size), np.arange(len(hashes))
     literals = np.concatenate(([0], np.cumsum(kind == LITERAL)))
-    vague = np.flatnonzero(literals[size:] - literals[: max(0, len(literals) - size)] < min(LITERALS, size))
+    literal = literals[np.minimum(place + size, len(hashes))] - literals[:-1]
+    among = np.concatenate(([0], np.cumsum(maybe)))
+    some = np.flatnonzero(among[size:] > among[: max(0, len(among) - size)])
+    if len(some):
+        base, powers = len(some), T.powers(size)[:size]
+        raw = np.zeros(base, np.uint64)
+        for k in range(size):
+            raw += hashes[some + k] * powers[k]
+        where, count = some, literal[some]
+        for k in range(size):
+            pick = np.flatnonzero(maybe[where + k])
+            named = raw[pick] + (_SLOT[NAME] - hashes[where[pick] + k]) * powers[k]
+            raw, where, count = np.append(raw, named), np.append(where, where[pick]), np.append(count, count[pick] - 1)
+        keys = np.append(keys, T.mix(raw[base:]))
+        place, literal = np.append(place, where[base:]), np.append(literal, count[base:])
+    vague = np.flatnonzero((literal < min(LITERALS, size)) & (place + size <= len(hashes)))
     if len(vague):
-        values = T.mix(value[vague[:, None] + np.arange(size)]) * T.powers(size)[:size]
+        values = T.mix(value[place[vague][:, None] + np.arange(size)]) * T.powers(size)[:size]
         keys[vague] = T.mix(keys[vague] ^ values.sum(1))
-    return keys
+    return keys, place
 
 
 class Items:
@@ -118,7 +182,7 @@ class Items:
         # once more in lower case: copies in capitals, or with every word a sentence, show no names
         data, ends = T.column_bytes(pa.array([*texts, *(t.lower() for t in texts)], pa.string()))
         self.ids, self.width = ids + ids, width
-        self.hashes, self.kind, self.value, self.words = canonical(data, ends)
+        self.hashes, self.kind, self.value, self.words, self.maybe = canonical(data, ends)
         self.length = np.diff(self.words)
         self.tables = {}
         # items of fewer words than a window are windows of their own length
@@ -126,37 +190,48 @@ class Items:
             fit = T.fits(self.words, size)
             if size < width:
                 fit &= np.repeat(self.length == size, self.length)
-            place = np.flatnonzero(fit)
-            keys = window_keys(self.hashes, self.kind, self.value, size)[place]
+            keys, place = window_keys(self.hashes, self.kind, self.value, self.maybe, size)
+            keys, place = keys[fit[place]], place[fit[place]]
             order = np.argsort(keys, kind="stable")
             self.tables[size] = (keys[order], place[order])
 
     def matches(self, data: np.ndarray, ends: np.ndarray):
         """Per document with a consistent match: its place, and its items with the share covered."""
-        hashes, kind, value, words = canonical(data, ends)
-        found: dict = defaultdict(list)
+        hashes, kind, value, words, maybe = canonical(data, ends)
+        found: dict = defaultdict(set)
         for size, (keys, places) in self.tables.items():
-            grams = window_keys(hashes, kind, value, size) if len(hashes) else hashes
-            for w in np.flatnonzero(T.member(grams, keys) & T.fits(words, size)):
+            if not len(hashes):
+                break
+            grams, at = window_keys(hashes, kind, value, maybe, size)
+            for g in np.flatnonzero(T.member(grams, keys) & T.fits(words, size)[at]):
+                w = int(at[g])
                 doc = int(np.searchsorted(words, w, "right")) - 1
-                for p in places[np.searchsorted(keys, grams[w], "left") : np.searchsorted(keys, grams[w], "right")]:
+                for p in places[np.searchsorted(keys, grams[g], "left") : np.searchsorted(keys, grams[g], "right")]:
                     item = int(np.searchsorted(self.words, p, "right")) - 1
-                    found[doc, item, int(w - p)].append((int(p), size))
+                    found[doc, item, w - int(p)].add((int(p), size))
         out: dict = defaultdict(dict)
         for (doc, item, distance), windows in found.items():
             share = self._covered(item, distance, windows, kind, value)
             out[doc][item] = max(share, out[doc].get(item, 0.0))
         return out
 
+    def _pairs(self, p: int, w: int, size: int, kind, value):
+        """Slots of two windows: kind, value and value of each, and how many of them are names only if read as such."""
+        mine, other = slice(p, p + size), slice(w, w + size)
+        literal = (self.kind[mine] == LITERAL) & (kind[other] == LITERAL) & (self.value[mine] == value[other])
+        slots = np.flatnonzero(~literal)
+        kinds = np.where(self.kind[mine] == LITERAL, NAME, self.kind[mine])[slots]
+        read = int(((self.kind[mine] == LITERAL) | (kind[other] == LITERAL))[slots].sum())
+        return list(zip(kinds.tolist(), self.value[mine][slots].tolist(), value[other][slots].tolist())), read
+
     def _covered(self, item, distance, windows, kind, value) -> float:
         seen = np.zeros(self.length[item], bool)
         forward: dict = {}
         backward: dict = {}
-        for p, size in windows:
-            mine, other = slice(p, p + size), slice(p + distance, p + distance + size)
-            slots = np.flatnonzero(self.kind[mine] != LITERAL)
-            pairs = list(zip(self.kind[mine][slots].tolist(), self.value[mine][slots].tolist(), value[other][slots].tolist()))
-            if size - len(slots) < min(LITERALS, size) and any(a != b for _, a, b in pairs):
+        # first what needs no word to be read as a name
+        paired = sorted(((*self._pairs(p, p + distance, size, kind, value)[::-1], p, size) for p, size in windows), key=lambda x: (x[0], x[2], x[3]))
+        for _, pairs, p, size in paired:
+            if size - len(pairs) < min(LITERALS, size) and any(a != b for _, a, b in pairs):
                 continue
             if all(forward.get((k, a), b) == b and backward.get((k, b), a) == a for k, a, b in pairs):
                 forward.update(((k, a), b) for k, a, b in pairs)

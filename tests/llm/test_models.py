@@ -150,3 +150,20 @@ def test_short_items_blocks_and_odd_rows(spark, odd, nothing):
     assert templates.contamination(odd, bench).count() == odd.count()
     assert templates.contamination(odd, bench.limit(0)).filter("NOT contaminated").count() == odd.count()
     assert templates.contamination(nothing, bench).collect() == []
+
+
+TOM = "Tom has 12 apples. Tom gives 5 apples to Ann. Tom eats 2 more. How many apples does Tom have?"
+
+
+def test_names_that_open_sentences_units_glued_on_and_number_words(spark):
+    bob = TOM.replace("Tom", "Bob")
+    kilos = "the farmer sold 5kg of his red apples and kept 12 of them"
+    texts = [
+        TOM, bob, "Then " + bob, kilos.replace("5kg", "7kg"), kilos.replace("5kg", "7 kg"), kilos.replace("12", "nine"),
+        kilos.replace("5kg", "Nine kg").replace("12", "seven"),
+    ]
+    assert search(spark, texts, [TOM, kilos]) == {0: [0], 1: [0], 2: [0], 3: [1], 4: [1], 5: [1], 6: [1]}
+    # every choice of names and literals has a key
+    words = ["Then Bob sold ten of his green apples", "then Tom sold 10 of his green apples", "Later then Tom sold 10 of his green apples"]
+    assert search(spark, words[1:], words[:1]) == {0: [0], 1: [0]}
+    assert search(spark, words[:1], words[1:2]) == {0: [0]}
