@@ -4,7 +4,9 @@ Words lose the punctuation around them; numbers (also in words, or with a unit g
 placeholders, the rest is lower-cased. A capitalised word that opens a sentence may be a name: windows with it stand and are looked up
 in both forms.
 Windows of ``WIDTH`` canonical words of the benchmark form a hash table; every document's rolling windows are looked up in it.
-Windows of one document that hit one item at one distance form an alignment. Along it the slot values must agree one to one
+Windows of one document that hit one item at about one distance, in the same order, form an alignment, to which shorter runs of equal
+words beside them are added; so a word more, less or changed does not cut an item in two. Texts are compared once more with runs of
+names and of numbers as one slot each. Along an alignment the slot values must agree one to one
 (the same number in the item is the same number in the document, and the other way round), so a question asked with
 other numbers or names is caught and a chance likeness of placeholders is not.
 
@@ -26,7 +28,9 @@ from millrace.llm import text as T
 WIDTH = 8
 #: Literal words a window needs; with fewer, its slots must hold the item's own values.
 LITERALS = 4
-#: Share of an item's words that consistent windows must cover.
+#: Words that an alignment may move by, and words of a run that is added to it.
+SHIFT, RUN = 4, 4
+#: Share of an item's words that a consistent alignment must cover.
 COVERAGE = 0.6
 BLOCK_BYTES = 8 << 20
 
@@ -175,14 +179,61 @@ def window_keys(hashes: np.ndarray, kind: np.ndarray, value: np.ndarray, maybe:
     return keys, place
 
 
+def joined_runs(hashes: np.ndarray, kind: np.ndarray, value: np.ndarray, words: np.ndarray, maybe: np.ndarray):
+    """Canonical words with runs of names and of numbers as one word each, and which texts had any."""
+    again = np.zeros(len(hashes), bool)
+    again[1:] = (kind[1:] == kind[:-1]) & ((kind[1:] == NUMBER) | (kind[1:] == NAME))
+    again[words[:-1][np.diff(words) > 0]] = False
+    count = np.concatenate(([0], np.cumsum(again)))
+    had = count[words[1:]] > count[words[:-1]]
+    if not had.any():
+        return (hashes, kind, value, words, maybe), had
+    begin = np.flatnonzero(~again)
+    size = np.diff(np.append(begin, len(hashes)))
+    place = np.arange(len(hashes)) - np.repeat(begin, size)
+    whole = T.mix(np.add.reduceat(value * T.powers(int(size.max()))[place], begin))
+    return (hashes[begin], kind[begin], np.where(size > 1, whole, value[begin]), words - count[words], maybe[begin]), had
+
+
+class _Alignment:
+    """Places in a document of an item's words, in order, with slots that agree one to one; -1 where there is none."""
+
+    def __init__(self, length: int):
+        self.to = np.full(length, -1)
+        self.forward: dict = {}
+        self.backward: dict = {}
+
+    def agrees(self, pairs: list) -> bool:
+        return all(self.forward.get((k, a), b) == b and self.backward.get((k, b), a) == a for k, a, b in pairs)
+
+    def add(self, p: int, w: int, size: int, pairs: list) -> None:
+        if size - len(pairs) < min(LITERALS, size) and any(a != b for _, a, b in pairs):
+            return
+        held, after = self.to[p : p + size], self.to[p + size :]
+        place = w + np.arange(size)
+        if ((held >= 0) & (held != place)).any() or self.to[:p].max(initial=-1) >= w or (after[after >= 0] < w + size).any():
+            return
+        if self.agrees(pairs):
+            self.forward.update(((k, a), b) for k, a, b in pairs)
+            self.backward.update(((k, b), a) for k, a, b in pairs)
+            self.to[p : p + size] = place
+
+
 class Items:
     """One block of the benchmark: windows by hash, and the canonical words of its items."""
 
-    def __init__(self, ids: list[int], texts: list[str], width: int):
+    def __init__(self, ids: list[int], texts: list[str], width: int, joined: bool = False):
         # once more in lower case: copies in capitals, or with every word a sentence, show no names
         data, ends = T.column_bytes(pa.array([*texts, *(t.lower() for t in texts)], pa.string()))
         self.ids, self.width = ids + ids, width
-        self.hashes, self.kind, self.value, self.words, self.maybe = canonical(data, ends)
+        words = canonical(data, ends)
+        self.joined = None
+        if joined:
+            words, had = joined_runs(*words)
+            self.runs = bool(had.any())
+        else:
+            self.joined = Items(ids, texts, width, True)
+        self.hashes, self.kind, self.value, self.words, self.maybe = words
         self.length = np.diff(self.words)
         self.tables = {}
         # items of fewer words than a window are windows of their own length
@@ -197,8 +248,21 @@ class Items:
 
     def matches(self, data: np.ndarray, ends: np.ndarray):
         """Per document with a consistent match: its place, and its items with the share covered."""
-        hashes, kind, value, words, maybe = canonical(data, ends)
-        found: dict = defaultdict(set)
+        words = canonical(data, ends)
+        out = self._matches(*words)
+        words, had = joined_runs(*words)
+        if not self.joined.runs:  # then texts without runs are as they were
+            hashes, kind, value, offsets, maybe = words
+            size = np.diff(offsets)
+            own = np.repeat(had, size)
+            words = hashes[own], kind[own], value[own], np.concatenate(([0], np.cumsum(size * had))), maybe[own]
+        for doc, shares in self.joined._matches(*words).items():
+            for item, share in shares.items():
+                out[doc][item] = max(share, out[doc].get(item, 0.0))
+        return out
+
+    def _matches(self, hashes, kind, value, words, maybe):
+        found: dict = defaultdict(lambda: defaultdict(set))
         for size, (keys, places) in self.tables.items():
             if not len(hashes):
                 break
@@ -208,11 +272,11 @@ class Items:
                 doc = int(np.searchsorted(words, w, "right")) - 1
                 for p in places[np.searchsorted(keys, grams[g], "left") : np.searchsorted(keys, grams[g], "right")]:
                     item = int(np.searchsorted(self.words, p, "right")) - 1
-                    found[doc, item, w - int(p)].add((int(p), size))
+                    found[doc, item][w - int(p)].add((int(p), size))
         out: dict = defaultdict(dict)
-        for (doc, item, distance), windows in found.items():
-            share = self._covered(item, distance, windows, kind, value)
-            out[doc][item] = max(share, out[doc].get(item, 0.0))
+        for (doc, item), windows in found.items():
+            text = tuple(x[words[doc] : words[doc + 1]] for x in (hashes, kind, value, maybe))
+            out[doc][item] = self._covered(item, windows, int(words[doc]), text)
         return out
 
     def _pairs(self, p: int, w: int, size: int, kind, value):
@@ -224,20 +288,50 @@ class Items:
         read = int(((self.kind[mine] == LITERAL) | (kind[other] == LITERAL))[slots].sum())
         return list(zip(kinds.tolist(), self.value[mine][slots].tolist(), value[other][slots].tolist())), read
 
-    def _covered(self, item, distance, windows, kind, value) -> float:
-        seen = np.zeros(self.length[item], bool)
-        forward: dict = {}
-        backward: dict = {}
-        # first what needs no word to be read as a name
-        paired = sorted(((*self._pairs(p, p + distance, size, kind, value)[::-1], p, size) for p, size in windows), key=lambda x: (x[0], x[2], x[3]))
-        for _, pairs, p, size in paired:
-            if size - len(pairs) < min(LITERALS, size) and any(a != b for _, a, b in pairs):
+    def _covered(self, item: int, windows: dict, first: int, text: tuple) -> float:
+        """The largest share of an item that an alignment covers; ``windows`` by distance, ``first`` the document's first word."""
+        start, length = int(self.words[item]), int(self.length[item])
+        _, kind, value, _ = text
+        known = {}
+        for d, own in windows.items():
+            each = [(*self._pairs(p, p + d - first, size, kind, value)[::-1], p - start, size) for p, size in own]
+            known[d] = sorted(each, key=lambda x: (x[0], x[2], x[3]))  # first what needs no word to be read as a name
+        shifts = sorted(range(-SHIFT, SHIFT + 1), key=lambda x: (abs(x), x))
+        best = 0.0
+        for base in known:
+            line = _Alignment(length)
+            for shift in shifts:
+                for _, pairs, p, size in known.get(base + shift, []):
+                    line.add(p, p + start + base + shift - first, size, pairs)
+            if not (line.to >= 0).any():
                 continue
-            if all(forward.get((k, a), b) == b and backward.get((k, b), a) == a for k, a, b in pairs):
-                forward.update(((k, a), b) for k, a, b in pairs)
-                backward.update(((k, b), a) for k, a, b in pairs)
-                seen[p - self.words[item] : p - self.words[item] + size] = True
-        return float(seen.mean())
+            for shift in shifts:
+                if not (line.to < 0).any():
+                    break
+                self._add_runs(line, start, base + shift + start - first, text)
+            best = max(best, float((line.to >= 0).mean()))
+            if best == 1.0:
+                break
+        return best
+
+    def _add_runs(self, line: _Alignment, start: int, distance: int, text: tuple) -> None:
+        """Adds runs of at least ``RUN`` words not covered that equal those of the document at a distance."""
+        hashes, kind, value, maybe = text
+        low, high = max(0, -distance), min(len(line.to), len(hashes) - distance)
+        if high - low < RUN:
+            return
+        mine, other = slice(start + low, start + high), slice(low + distance, high + distance)
+        names = ((self.kind[mine] == NAME) | self.maybe[mine]) & ((kind[other] == NAME) | maybe[other])
+        same = ((self.hashes[mine] == hashes[other]) | names) & (line.to[low:high] < 0)
+        pairs = self._pairs(start + low, low + distance, high - low, kind, value)[0]
+        literal = (self.kind[mine] == LITERAL) & (kind[other] == LITERAL) & (self.value[mine] == value[other])
+        for q, pair in zip(np.flatnonzero(~literal), pairs):
+            same[q] &= line.agrees([pair])
+        steps = np.flatnonzero(np.diff(np.concatenate(([False], same, [False])).astype(np.int8)))
+        for a, b in zip(steps[::2].tolist(), steps[1::2].tolist()):
+            if b - a >= RUN:
+                pairs = self._pairs(start + low + a, low + a + distance, b - a, kind, value)[0]
+                line.add(low + a, low + a + distance, b - a, pairs)
 
 
 def _search(items: Items, coverage: float):

@@ -167,3 +167,21 @@ def test_names_that_open_sentences_units_glued_on_and_number_words(spark):
     words = ["Then Bob sold ten of his green apples", "then Tom sold 10 of his green apples", "Later then Tom sold 10 of his green apples"]
     assert search(spark, words[1:], words[:1]) == {0: [0], 1: [0]}
     assert search(spark, words[:1], words[1:2]) == {0: [0]}
+
+
+def test_changes_in_the_middle_do_not_cut_an_item_in_two(spark):
+    item = "blue rivers run down from tall hills toward quiet old towns where few people still live"
+    ws, texts = item.split(), []
+    assert len(ws) == 16
+    for at in range(1, 16):
+        texts += [" ".join([*ws[:at], "indeed", *ws[at + (not put) :]]) for put in (True, False)]
+    assert all(search(spark, texts, [item]).values())
+    assert search(spark, [" ".join(ws[8:] + ws[:8]), " ".join(ws[:8]) + " and more of that"], [item]) == {0: [], 1: []}
+
+
+def test_names_and_numbers_of_more_words(spark):
+    texts = [QUESTION.replace("Smith", "De Souza").replace("Jones", "Van Der Berg").replace("12", "1 200")]
+    short = "we saw that Smith ran off after Smith lost what Smith found near where Smith slept"
+    texts += [short.replace("Smith", "De Souza"), short]
+    assert search(spark, texts, [QUESTION, short]) == {0: [0], 1: [1], 2: [1]}
+    assert search(spark, texts[2:], texts[1:2]) == {0: [0]}
