@@ -157,12 +157,13 @@ TOM = "Tom has 12 apples. Tom gives 5 apples to Ann. Tom eats 2 more. How many a
 
 def test_names_that_open_sentences_units_glued_on_and_number_words(spark):
     bob = TOM.replace("Tom", "Bob")
-    kilos = "the farmer sold 5kg of his red apples and kept 12 of them"
+    kilos = "after lunch the old farmer sold 5kg of his red apples to them"
+    dozen = "after supper the young baker bought twelve of her green pears from us"
     texts = [
-        TOM, bob, "Then " + bob, kilos.replace("5kg", "7kg"), kilos.replace("5kg", "7 kg"), kilos.replace("12", "nine"),
-        kilos.replace("5kg", "Nine kg").replace("12", "seven"),
+        TOM, bob, "Then " + bob, kilos.replace("5kg", "7kg"), kilos.replace("5kg", "7 kg"), kilos.replace("5kg", "Nine kg"),
+        dozen.replace("twelve", "12"), dozen.replace("twelve", "Seven"),
     ]
-    assert search(spark, texts, [TOM, kilos]) == {0: [0], 1: [0], 2: [0], 3: [1], 4: [1], 5: [1], 6: [1]}
+    assert search(spark, texts, [TOM, kilos, dozen]) == {0: [0], 1: [0], 2: [0], 3: [1], 4: [1], 5: [1], 6: [2], 7: [2]}
     # every choice of names and literals has a key
     words = ["Then Bob sold ten of his green apples", "then Tom sold 10 of his green apples", "Later then Tom sold 10 of his green apples"]
     assert search(spark, words[1:], words[:1]) == {0: [0], 1: [0]}
