@@ -4,7 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.llm import attribution, exact, maxent, mixing, near, quality, substring, suffixes, templates, training_order
+from millrace.llm import (
+    attribution,
+    centroids,
+    exact,
+    maxent,
+    mixing,
+    near,
+    quality,
+    substring,
+    suffixes,
+    templates,
+    training_order,
+    whitening,
+)
 from millrace.plans.base import Cases, table
 
 CASES = Cases()
@@ -150,3 +163,40 @@ def op8_template_decontamination(spark, sf_dir):
 @CASES.query("op10_maxent_scores")
 def op10_maxent_scores(spark, sf_dir):
     return maxent.score(table(spark, sf_dir, "documents"))
+
+
+@CASES.query("op11_embedding_whitening")
+def op11_embedding_whitening(spark, sf_dir):
+    rows = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    return rows.withColumn("deviation", F.expr("try_cast(deviation AS BIGINT)"))
+
+
+#: One round: the nearest centroid of every vector, then the floor of the mean of its vectors for every centroid that has any
+_ROUND = """
+    apart{i} AS (SELECT r, c, sum((e.x - m.x) * (e.x - m.x))::BIGINT AS distance FROM entries e JOIN centre{i} m USING (d) GROUP BY r, c),
+    near{i} AS MATERIALIZED (SELECT r, best.c AS c, best.distance AS distance
+              FROM (SELECT r, min(struct_pack(distance := distance, c := c)) AS best FROM apart{i} GROUP BY r))"""
+_MOVED = """
+    mean{j} AS (SELECT c, d, sum(x)::BIGINT AS s, count(*) AS n FROM near{i} JOIN entries USING (r) GROUP BY c, d),
+    centre{j} AS MATERIALIZED (SELECT c, d, coalesce((s - ((s % n) + n) % n) // n, m.x) AS x FROM centre{i} m LEFT JOIN mean{j} USING (c, d))"""
+
+
+@CASES.query(
+    "op13_centroid_clustering",
+    f"""
+    WITH kept AS MATERIALIZED (
+        SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda v: floor(1024 * v::DOUBLE)::BIGINT) AS x FROM embeddings
+        WHERE len(embedding) = {centroids.WIDTH} AND len(list_filter(embedding, lambda v: v IS NULL OR NOT isfinite(v))) = 0),
+    entries AS MATERIALIZED (SELECT r, d, x[d] AS x FROM kept, range(1, {centroids.WIDTH + 1}) AS places(d)),
+    drawn AS (SELECT r, row_number() OVER (ORDER BY sha256('3:' || coalesce(vec_id::VARCHAR, '')), x) - 1 AS c FROM kept),
+    centre0 AS MATERIALIZED (SELECT c, d, x FROM drawn JOIN entries USING (r) WHERE c < {centroids.CENTROIDS}),
+    {",".join(_ROUND.format(i=i) + "," + _MOVED.format(i=i, j=i + 1) for i in range(centroids.ROUNDS))},
+    {_ROUND.format(i=centroids.ROUNDS)}
+    SELECT vec_id, c::INTEGER AS cluster, distance, sum(distance) OVER (PARTITION BY c)::BIGINT AS cluster_inertia,
+           sum(distance) OVER ()::BIGINT AS inertia, centroid_sha256
+    FROM near{centroids.ROUNDS} JOIN kept USING (r)
+         JOIN (SELECT c, sha256(string_agg(x::VARCHAR, ',' ORDER BY d)) AS centroid_sha256 FROM centre{centroids.ROUNDS} GROUP BY c) USING (c)
+    """,
+)
+def op13_centroid_clustering(spark, sf_dir):
+    return centroids.cluster(table(spark, sf_dir, "embeddings"))
