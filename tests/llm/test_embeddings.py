@@ -73,7 +73,7 @@ def test_whitening_of_odd_tables(spark):
 
 def test_ill_conditioned_rows_stay_orthogonal(spark):
     draw = np.random.default_rng(9)
-    rows = [(i, [float(a), float(a) + b, b / 64]) for i, (a, b) in enumerate(zip(draw.integers(-4000, 4000, 200), draw.integers(0, 3, 200) * 1.0))]
+    rows = [(i, [float(a), float(a + b), float(b) / 64]) for i, (a, b) in enumerate(zip(draw.integers(-4000, 4000, 200), draw.integers(0, 3, 200) * 1.0))]
     check_whitening(whitening.whiten(frame(spark, rows), components=2).collect(), rows, 2)
 
 
