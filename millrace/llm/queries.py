@@ -12,6 +12,7 @@ from millrace.llm import (
     mixing,
     near,
     quality,
+    sanitise,
     substring,
     suffixes,
     templates,
@@ -200,3 +201,85 @@ _MOVED = """
 )
 def op13_centroid_clustering(spark, sf_dir):
     return centroids.cluster(table(spark, sf_dir, "embeddings"))
+
+
+#: The contract's patterns, and a check of what they match, in SQL
+_DATA = {
+    "email": (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "true"),
+    "ip": (r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "list_max(list_transform(string_split(v, '.'), lambda x: x::HUGEINT)) <= 255"),
+    "card": (
+        r"[0-9]([\x20-]?[0-9])+",
+        """len(regexp_replace(v, '[^0-9]', '', 'g')) BETWEEN 12 AND 19
+           AND list_sum(list_transform(string_split(reverse(regexp_replace(v, '[^0-9]', '', 'g')), ''),
+               lambda x, i: CASE WHEN i % 2 = 1 THEN x::INT WHEN x::INT > 4 THEN 2 * x::INT - 9 ELSE 2 * x::INT END)) % 10 = 0""",
+    ),
+    "phone": (r"\+[0-9][\x20().0-9-]+[0-9]", "len(regexp_replace(v, '[^0-9]', '', 'g')) BETWEEN 9 AND 15"),
+}
+
+
+def _placed_sql(rows: str, pattern: str) -> str:
+    """``r, v, s, e``: all matches of a pattern in the texts of ``rows``, with their places."""
+    return f"""(SELECT r, v, e - length(v) AS s, e FROM (
+        SELECT r, v, sum(length(gap) + length(v)) OVER (PARTITION BY r ORDER BY i)::BIGINT AS e FROM (
+            SELECT r, unnest(m) AS v, unnest(g[1:len(m)]) AS gap, unnest(range(1, len(m) + 1)) AS i
+            FROM (SELECT r, regexp_extract_all(t, '{pattern}') AS m, string_split_regex(t, '{pattern}') AS g FROM {rows}))))"""
+
+
+_BASE = " UNION ALL ".join(
+    f"SELECT r, {rank} AS rank, '{kind}' AS kind, s, e FROM {_placed_sql('texts', pattern)} WHERE {check}"
+    for rank, (kind, (pattern, check)) in enumerate(_DATA.items())
+)
+_VALUES = " UNION ALL ".join(
+    f"""SELECT DISTINCT passage, '{kind}:' || {"lower(v)" if kind == "email" else "v" if kind == "ip" else "regexp_replace(v, '[^0-9]', '', 'g')"} AS value
+        FROM (SELECT passage, unnest(regexp_extract_all(passage, '{pattern}')) AS v FROM held) WHERE {check}"""
+    for kind, (pattern, check) in _DATA.items()
+)
+_REST = "passage"
+for _pattern in (_DATA["email"][0], _DATA["phone"][0], _DATA["ip"][0], r"[0-9]([\x20-]?[0-9]){11,}"):
+    _REST = f"regexp_replace({_REST}, '{_pattern}', ' ', 'g')"
+_TERM_SQL = sanitise.TERM.replace("'", "''")
+
+
+def _terms_sql(passage: str) -> str:
+    signs = f"""['#'] || CASE WHEN regexp_matches({passage}, '\\p{{L}}') THEN ['#word'] ELSE [] END
+                || CASE WHEN regexp_matches({passage}, '[0-9]') THEN ['#number'] ELSE [] END"""
+    return f"list_distinct(regexp_extract_all(lower({passage}), '{_TERM_SQL}') || {signs})"
+
+
+@CASES.query(
+    "op12_sanitise",
+    f"""
+    WITH texts AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+    base AS MATERIALIZED ({_BASE}),
+    cut AS MATERIALIZED (SELECT r, unnest(string_split_regex(t, '{sanitise.PASSAGE_END}')) AS passage FROM texts),
+    passages AS MATERIALIZED (SELECT DISTINCT passage FROM cut WHERE passage <> ''),
+    held AS MATERIALIZED (SELECT DISTINCT passage FROM cut WHERE r IN (SELECT r FROM base) AND passage <> ''),
+    protected AS MATERIALIZED ({_VALUES}),
+    beside AS (SELECT passage, unnest(list_intersect({_terms_sql("rest")}, {_terms_sql("passage")})) AS term FROM (SELECT passage, {_REST} AS rest FROM held WHERE passage IN (SELECT passage FROM protected))),
+    found AS MATERIALIZED (SELECT value, term, count(*) AS both_n FROM beside JOIN protected USING (passage)
+                           GROUP BY ALL HAVING count(*) >= {sanitise.SUPPORT}),
+    of_term AS MATERIALIZED (SELECT term, count(*) AS n FROM (SELECT unnest({_terms_sql("passage")}) AS term FROM passages)
+                             WHERE term IN (SELECT term FROM found) GROUP BY term),
+    judged AS (SELECT value, term FROM found JOIN of_term USING (term)
+                    JOIN (SELECT value, both_n AS n_value FROM found WHERE term = '#') USING (value), (SELECT n AS total FROM of_term WHERE term = '#')
+               WHERE n_value < total
+                 AND round(ln(total::DOUBLE * both_n / (n * n_value)) / ln(total::DOUBLE / n_value), 9) >= {sanitise.THRESHOLD}),
+    telling AS MATERIALIZED (SELECT DISTINCT term FROM judged WHERE term NOT LIKE '#%'),
+    marked AS (SELECT * FROM texts WHERE len(list_intersect(regexp_extract_all(lower(t), '{_TERM_SQL}'), (SELECT list(term) FROM telling))) > 0),
+    terms AS (SELECT r, 4 AS rank, 'term' AS kind, s, e FROM {_placed_sql("marked", _TERM_SQL)} p
+              WHERE lower(v) IN (SELECT term FROM telling)
+                AND NOT EXISTS (SELECT 1 FROM base b WHERE b.r = p.r AND b.s < p.e AND p.s < b.e)),
+    per_row AS (SELECT r, {", ".join(f"count(*) FILTER (WHERE kind = '{kind}') AS n_{kind}" for kind in _DATA)},
+                       string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, rank) FILTER (WHERE rank < 4) AS own,
+                       string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, rank) AS spans
+                FROM (SELECT * FROM base UNION ALL SELECT * FROM terms) GROUP BY r)
+    SELECT doc_id, {", ".join(f"coalesce(n_{kind}, 0) AS n_{kind}" for kind in _DATA)},
+           sha256(coalesce(own, '')) AS base_sha256, coalesce(spans, '') AS spans
+    FROM texts LEFT JOIN per_row USING (r)
+    """,
+)
+def op12_sanitise(spark, sf_dir):
+    found = sanitise.sanitise(table(spark, sf_dir, "documents"))
+    counts = [sanitise.count_of(F.col("base"), kind).alias(f"n_{kind}") for kind in sanitise.KINDS]
+    digest = F.sha2(sanitise.listed(F.col("base")), 256)
+    return found.select("doc_id", *counts, digest.alias("base_sha256"), sanitise.listed(F.col("spans")).alias("spans"))
