@@ -43,6 +43,8 @@ _HIDDEN = (PATTERNS["email"], PATTERNS["phone"], PATTERNS["ip"], r"[0-9](?:[\x20
 PASSAGE_END = r"[.!?]+[\x20\x09-\x0D]+|[\x0A-\x0D]+"
 TERM = r"[\p{L}\p{N}_'-]+"
 SUPPORT, THRESHOLD = 3, 0.95
+#: Terms are screened on the passages of one in so many hashes.
+SLICES = 64
 
 _EVERY, _WORD, _NUMBER = "#", "#word", "#number"  # no term has this sign
 _KEY = ("doc_id", "h", "g", "n")
@@ -166,6 +168,25 @@ def pairs(texts: DataFrame) -> DataFrame:
     return seen.select("h", F.explode("values").alias("value"), "term").groupBy("value", "term").agg(F.count_distinct("h").alias("both"))
 
 
+def _passages_with(hashed: DataFrame, terms: DataFrame) -> DataFrame:
+    """``term, n``: the distinct passages with each of ``terms``."""
+    every = hashed.select("h", F.explode(_terms(F.col("passage"))).alias("term"))
+    return every.join(terms, "term", "left_semi").groupBy("term").agg(F.count_distinct("h").alias("n"))
+
+
+def _possible(hashed: DataFrame, found: DataFrame, of_value: DataFrame, characters: int, threshold: float) -> DataFrame:
+    """The terms of ``found`` that are not yet known to stay below the threshold; signs are all kept.
+
+    A disclosure of ``threshold`` needs ``n(t) <= n(t,e) (N / n(e)) ** (1 - threshold)``. There are no more passages than characters, and a term
+    has at least the passages it has in a slice of them, so common words go out after a look at one slice.
+    """
+    most = F.col("both") * F.pow(F.lit(float(characters)) / F.col("n_value"), F.lit(1 - threshold)) * (1 + 1e-6)
+    allowed = found.where(_is_term()).join(of_value, "value").groupBy("term").agg(F.max(most).alias("most"))
+    sliced = _passages_with(hashed.where(F.pmod("h", F.lit(SLICES)) == 0), found.select("term").distinct())
+    over = sliced.join(allowed, "term").where(F.col("n") > F.col("most")).select("term")
+    return _saved(found.select("term").distinct().join(over, "term", "left_anti"), "sanitise-possible")
+
+
 def disclosing_terms(texts: DataFrame, protected: DataFrame, support: int = SUPPORT, threshold: float = THRESHOLD) -> DataFrame:
     """``term, disclosure, action`` of the terms that give away a protected value.
 
@@ -174,11 +195,11 @@ def disclosing_terms(texts: DataFrame, protected: DataFrame, support: int = SUPP
     found = _saved(pairs(protected).where(F.col("both") >= support), "sanitise-pairs")
     if found.where(_is_term()).isEmpty():
         return texts.sparkSession.createDataFrame([], "term string, disclosure double, action string")
-    every = _passages(texts).select(F.xxhash64("passage").alias("h"), F.explode(_terms(F.col("passage"))).alias("term"))
-    every = every.join(found.select("term").distinct(), "term", "left_semi")
-    of_term = _saved(every.groupBy("term").agg(F.count_distinct("h").alias("n")), "sanitise-terms")
-    total = of_term.where(F.col("term") == _EVERY).first()["n"]
+    hashed = _passages(texts).select("passage", F.xxhash64("passage").alias("h"))
     of_value = found.where(F.col("term") == _EVERY).select("value", F.col("both").alias("n_value"))
+    possible = _possible(hashed, found, of_value, texts.agg(F.sum(F.length("text"))).first()[0] or 1, threshold)
+    of_term = _saved(_passages_with(hashed, possible), "sanitise-terms")
+    total = of_term.where(F.col("term") == _EVERY).first()["n"]
     told = F.log(F.lit(float(total)) * F.col("both") / (F.col("n") * F.col("n_value")))
     known = F.log(F.lit(float(total)) / F.col("n_value"))
     judged = found.join(of_term, "term").join(of_value, "value").where(F.col("n_value") < total)
@@ -196,6 +217,7 @@ def term_spans(texts: DataFrame, found: DataFrame) -> DataFrame:
     keyed = texts.select(*_key(), "text")
     own = keyed.select(*_KEY, F.explode(F.regexp_extract_all(F.lower("text"), F.lit(TERM), 0)).alias("term"))
     hits = own.join(found.select("term"), "term", "left_semi").select(*[F.col(c).alias(f"_{c}") for c in _KEY]).distinct()
+    hits = _saved(hits, "sanitise-hits")  # of known size, so that no text is moved where they are few
     same = F.col("doc_id").eqNullSafe(F.col("_doc_id"))
     for c in _KEY[1:]:
         same = same & (F.col(c) == F.col(f"_{c}"))

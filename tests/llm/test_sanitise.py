@@ -88,6 +88,13 @@ def test_base_spans_of_odd_texts(spark, nothing):
     assert run(nothing).collect() == []
 
 
+def test_screening_changes_nothing(spark, monkeypatch):
+    df = spark.createDataFrame(list(enumerate(people())), "doc_id long, text string")
+    want = sorted(map(tuple, run(df).collect()))
+    monkeypatch.setattr(sanitise, "SLICES", 1)
+    assert sorted(map(tuple, run(df).collect())) == want
+
+
 def test_whole_tables(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()
     want = dict(zip([r.doc_id for r in docs], expected([r.text or "" for r in docs])))
