@@ -38,7 +38,11 @@ def day_slices(df: DataFrame, ts: str, n: int = SLICES) -> list[DataFrame]:
 
     Rows without a time come first.
     """
-    bounds = day_bounds(df, ts, n)
+    return slices_between(df, ts, day_bounds(df, ts, n), n)
+
+
+def slices_between(df: DataFrame, ts: str, bounds: Sequence[datetime], n: int = SLICES) -> list[DataFrame]:
+    """The slices of a table along bounds that several tables may share."""
     if not bounds:
         return [df, *[df.limit(0)] * (n - 1)]
     at = lambda moment: F.lit(moment).cast("timestamp_ntz")

@@ -9,10 +9,10 @@ from millrace import scratch
 from millrace.functions import text as X
 from millrace.functions.times import wall
 from millrace.plans.base import SLICED_EVENTS, Cases, events, table
-from millrace.sinks import clients, files, tables
+from millrace.sinks import clients, files, outbox, tables
 from millrace.sinks.upsert import UpsertLog
 from millrace.sources import text
-from millrace.plans.replay import SLICES, day_slices, replay_batches
+from millrace.plans.replay import SLICES, day_slices, replay, replay_batches
 
 CASES = Cases()
 
@@ -129,6 +129,22 @@ def client_sink(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@CASES.query(
+    "snk_outbox",
+    f"""WITH {SLICED_EVENTS},
+             sent AS (SELECT batch_id AS batch, CAST(event_id AS VARCHAR) || ',' || event_type || ',' || CAST(user_id AS VARCHAR) AS message FROM sliced)
+        SELECT batch, message, count(*) OVER (PARTITION BY batch) AS sent, CAST(sum(length(message)) OVER (PARTITION BY batch) AS BIGINT) AS sent_chars
+        FROM sent""",
+)
+def outbox_sink(spark: SparkSession, sf: str) -> DataFrame:
+    """Messages in published batches, with the receipts of their batch."""
+    path = scratch.new_dir(spark, "outbox")
+    rows = events(spark, sf).select(X.csv_line("event_id", "event_type", "user_id").alias("message"), "ts")
+    replay(spark, {"rows": day_slices(rows, "ts")}, lambda rows: outbox.writer(rows, "message", path), "outbox")
+    totals = outbox.receipts(spark, path).groupBy("batch").agg(F.sum("sent").alias("sent"), F.sum("sent_chars").alias("sent_chars"))
+    return outbox.messages(spark, path).join(totals, "batch").select("batch", "message", "sent", "sent_chars")
+
+
 @CASES.query(
     "snk_keyed_upsert",
     """SELECT user_id, max(ts) AS ts, arg_max(event_type, ts) AS event_type, arg_max(value, ts) AS value

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace import schemas, scratch
 from millrace.plans.base import Cases, events, table
-from millrace.sources import archives, dictionary, documents, envelope, text
+from millrace.sources import archives, dictionary, documents, envelope, polls, text
 from millrace.plans.replay import drain
 
 CASES = Cases()
@@ -47,6 +47,23 @@ def stream_text(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@CASES.query(
+    "src_new_files",
+    """SELECT line, count(*) AS n FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM documents WHERE coalesce(doc_id, 0) % 3 <> 0)
+       GROUP BY line""",
+)
+def new_files(spark: SparkSession, sf: str) -> DataFrame:
+    """A third of the texts lies in the folder before the first start; the others land after it, one before a restart."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    landing, out, checkpoint = (scratch.new_dir(spark, f"new-files-{name}") for name in ("in", "out", "checkpoint"))
+    third = F.pmod(F.coalesce("doc_id", F.lit(0)), F.lit(3))
+    for number in range(3):
+        docs.where(third == number).select("text").write.mode("append").text(landing)
+        lines = text.stream_new_lines(spark, landing, checkpoint)
+        drain(lines.writeStream.format("parquet").option("path", out), checkpoint)
+    return spark.read.parquet(out).groupBy(F.col("value").alias("line")).agg(F.count(F.lit(1)).alias("n"))
+
+
 @CASES.query("src_stream_files", "SELECT event_id, user_id, event_type, value FROM events")
 def stream_files(spark: SparkSession, sf: str) -> DataFrame:
     rows = events(spark, sf).select("event_id", "user_id", "event_type", "value")
@@ -125,6 +142,35 @@ def nested_json(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("poll", "id", "stationName", "statusValue")
 
 
+@CASES.query(
+    "src_polls",
+    """SELECT 'input' || (o_orderkey % 2) AS input, 'poll-' || CAST(o_orderkey // 32 AS VARCHAR) AS poll, CAST(o_orderkey AS INTEGER) AS id,
+              o_orderpriority AS "stationName", o_orderstatus AS "statusValue" FROM orders""",
+)
+def polled(spark: SparkSession, sf: str) -> DataFrame:
+    """Two inputs of polled documents that land in three rounds, read by the source's own offsets; every round is a restart."""
+    base, out, checkpoint = (scratch.new_dir(spark, f"polls-{name}") for name in ("in", "out", "checkpoint"))
+    side, poll = F.pmod("o_orderkey", F.lit(2)), F.concat(F.lit("poll-"), F.expr(f"o_orderkey div {DOCUMENT_ROWS}"))
+    station = F.struct(
+        F.col("o_orderkey").cast("int").alias("id"), F.col("o_orderpriority").alias("stationName"), F.col("o_orderstatus").alias("statusValue")
+    )
+    answers = table(spark, sf, "orders").groupBy(side.alias("side"), poll.alias("executionTime")).agg(F.collect_list(station).alias("stationBeanList"))
+    answers = answers.select("side", F.pmod(F.xxhash64("executionTime"), F.lit(3)).alias("round"), F.to_json(F.struct("executionTime", "stationBeanList")).alias("line"))
+    folders = [f"{base}/input{n}" for n in range(2)]
+    schema = f"executionTime string, {schemas.STATION_DOCUMENT}"
+    for number in range(3):
+        for n, folder in enumerate(folders):
+            # a round's answers lie under names of its own, which sort after those of the rounds before
+            staged = scratch.new_dir(spark, "polls-staged")
+            answers.where((F.col("side") == n) & (F.col("round") == number)).select("line").write.text(staged)
+            polls.land(spark, staged, folder, f"{number:04d}")
+        rows = polls.stream(spark, folders).select("input", F.explode(F.split("document", "\n")).alias("line")).where("line <> ''")
+        drain(rows.writeStream.format("parquet").option("path", out), checkpoint)
+    parsed = documents.parsed(spark.read.parquet(out), "line", schema).select("input", "doc.*")
+    rows = documents.elements(parsed, "stationBeanList", F.col("input"), F.col("executionTime").alias("poll"))
+    return rows.select("input", "poll", "id", "stationName", "statusValue")
+
+
 @CASES.query("src_csv_infer", "SELECT l_orderkey, l_linenumber, l_quantity, l_returnflag FROM lineitem")
 def csv_infer(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch.new_dir(spark, "csv")

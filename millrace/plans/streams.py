@@ -10,8 +10,9 @@ from millrace.functions import text as X
 from millrace.plans.base import SLICED_EVENTS, Cases, events, quotes
 from millrace.sinks.files import latest, per_batch
 from millrace.sinks.upsert import UpsertLog
-from millrace.streaming import batches, state, windows
-from millrace.plans.replay import day_slices, replay, replay_batches
+from millrace.operators import sets
+from millrace.streaming import batches, inactivity, state, windows
+from millrace.plans.replay import SLICES, day_bounds, day_slices, drain, replay, replay_batches, slices_between
 
 CASES = Cases()
 
@@ -90,6 +91,17 @@ def running_count(spark: SparkSession, sf: str) -> DataFrame:
     return latest(spark, path)
 
 
+@CASES.query("st_state_read", "SELECT user_id, count(*) AS n FROM events GROUP BY user_id")
+def state_read(spark: SparkSession, sf: str) -> DataFrame:
+    """The running counts out of the state of an update-mode query whose output goes nowhere."""
+    landing, checkpoint = scratch.new_dir(spark, "state-in"), scratch.new_dir(spark, "state-checkpoint")
+    for rows in day_slices(events(spark, sf).select("user_id", "ts"), "ts"):
+        rows.write.mode("append").parquet(landing)
+        stream = spark.readStream.schema(rows.schema).parquet(landing)
+        drain(state.running_counts(stream, ["user_id"]).writeStream.outputMode("update").format("noop"), checkpoint)
+    return state.read_back(spark, checkpoint).select("user_id", F.col("count").alias("n"))
+
+
 @CASES.query(
     "st_running_stats",
     """SELECT event_type AS symbol, min(CAST(props->>'$.k' AS BIGINT)) AS low, max(CAST(props->>'$.k' AS BIGINT)) AS high,
@@ -191,6 +203,70 @@ def session_count(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(path).drop("batch_id")
 
 
+@CASES.query(
+    "st_inactivity",
+    f"""WITH {SLICED_EVENTS}
+        SELECT user_id, value > 50 AS good, count(*) AS n FROM sliced GROUP BY user_id, value > 50, batch_id""",
+)
+def inactivity_count(spark: SparkSession, sf: str) -> DataFrame:
+    """Ratings per user that end after a millisecond without any: a count that a batch does not go on with has ended before the next.
+
+    The last run goes on until the timers have ended every count.
+    """
+    landing, out, checkpoint = (scratch.new_dir(spark, f"inactivity-{name}") for name in ("in", "out", "checkpoint"))
+    slices = day_slices(events(spark, sf).select("user_id", (F.col("value") > 50).alias("good"), "ts"), "ts")
+
+    def writer():
+        rows = spark.readStream.schema(slices[0].schema).parquet(landing)
+        counts = inactivity.idle_counts(rows, ["user_id", "good"], 1)
+        return counts.writeStream.outputMode("append").format("parquet").option("path", out)
+
+    for rows in slices:
+        rows.write.mode("append").parquet(landing)
+        if rows is slices[-1]:
+            inactivity.run_out(writer(), checkpoint)
+        else:
+            with inactivity.batches_with_data_only(spark):
+                drain(writer(), checkpoint)
+    return spark.read.parquet(out).select("user_id", "good", "n")
+
+
+@CASES.query(
+    "st_two_streams",
+    f"""WITH {SLICED_EVENTS},
+             one AS (SELECT batch_id, user_id, event_id FROM sliced WHERE event_type IN ('click', 'view')),
+             two AS (SELECT batch_id, user_id, value FROM sliced WHERE event_type IN ('signup', 'error')),
+             meet AS (SELECT batch_id, user_id, count(event_id) AS shown, count(value) AS signed, max(value) AS most
+                      FROM (SELECT batch_id, user_id, event_id, NULL::DOUBLE AS value FROM one
+                            UNION ALL SELECT batch_id, user_id, NULL, value FROM two) GROUP BY ALL)
+        SELECT batch_id AS batch, user_id, shown, signed, signed = 0 AS only_shown, most FROM meet""",
+)
+def two_streams(spark: SparkSession, sf: str) -> DataFrame:
+    """Two streams of different columns; per batch, what each user has on either side, and who is on the first side only."""
+    path = scratch.new_dir(spark, "two-streams")
+    store = per_batch(path)
+    rows = events(spark, sf)
+    shown = rows.where(F.col("event_type").isin("click", "view")).select("user_id", "event_id", "ts")
+    signed = rows.where(F.col("event_type").isin("signup", "error")).select("user_id", "value", "ts")
+    bounds = day_bounds(rows, "ts", SLICES)
+
+    def step(first: DataFrame, second: DataFrame, batch_id: int) -> None:
+        one = first.groupBy("user_id").agg(F.count("event_id").alias("shown"))
+        two = second.groupBy("user_id").agg(F.count("value").alias("signed"), F.max("value").alias("most"))
+        alone = sets.subtract(first.select("user_id"), second.select("user_id")).withColumn("only_shown", F.lit(True))
+        joined = one.join(two, "user_id", "full").join(alone, "user_id", "left")
+        store(joined.fillna({"shown": 0, "signed": 0, "only_shown": False}), batch_id)
+
+    replay(
+        spark,
+        {"first": slices_between(shown, "ts", bounds), "second": slices_between(signed, "ts", bounds)},
+        lambda first, second: batches.two_streams(first, second).writeStream.foreachBatch(batches.on_both(step)),
+        "two-streams",
+    )
+    found = spark.read.parquet(path)
+    return found.select(F.col("batch_id").cast("long").alias("batch"), "user_id", "shown", "signed", "only_shown", "most")
+
+
 @CASES.query(
     "st_foreach_batch",
     f"""WITH {SLICED_EVENTS}

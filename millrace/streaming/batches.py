@@ -37,6 +37,27 @@ def with_previous(
     return step
 
 
+def two_streams(first: DataFrame, second: DataFrame) -> DataFrame:
+    """Two streams as one, so that a micro-batch holds the new rows of both. Schemas may differ; ``on_both`` parts them again."""
+    packed = [df.select(F.lit(side).alias("side"), F.struct("*").alias(name)) for side, name, df in ((1, "first", first), (2, "second", second))]
+    return packed[0].unionByName(packed[1], allowMissingColumns=True)
+
+
+def on_both(step: Callable[[DataFrame, DataFrame, int], None]) -> BatchFn:
+    """A function of both sides of a batch of ``two_streams``: only rows of one batch meet, and either side may be empty.
+
+    The batch is read once, however often the function uses its sides.
+    """
+
+    def run(df: DataFrame, batch_id: int) -> None:
+        def split(rows: DataFrame) -> None:
+            step(rows.where("side = 1").select("first.*"), rows.where("side = 2").select("second.*"), batch_id)
+
+        layout.shared(df, [split])
+
+    return run
+
+
 def exclusive_counts(
     path: str, channel: str, first: Sequence[str], second: Sequence[str], key: str, row_id: str
 ) -> BatchFn:

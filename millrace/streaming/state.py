@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.sinks.files import BatchFn, batch_dir
@@ -16,6 +16,17 @@ def running_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
 
 
+def read_back(spark: SparkSession, checkpoint: str, operator: int = 0, batch_id: int | None = None) -> DataFrame:
+    """The state that a query has stored, as a table of its key and value columns: that of its last batch, or of ``batch_id``.
+
+    The stream emits nothing for it, so an update-mode query with a large state can be read whole when it is wanted.
+    """
+    reader = spark.read.format("statestore").option("operatorId", operator)
+    if batch_id is not None:
+        reader = reader.option("batchId", batch_id)
+    return reader.load(checkpoint).select("key.*", "value.*")
+
+
 def stats_by_key(df: DataFrame, keys: Sequence[str], volume: str, price: str, limit: float) -> DataFrame:
     """Running least and greatest volume and number of rows with a price above ``limit``.
 
