@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace import schemas
+from millrace import schemas, scratch
 from millrace.functions import clean
 from millrace.functions import text as X
 from millrace.functions.times import wall
-from millrace.operators import aggregate, joins, order, stats
-from millrace.plans.base import Cases, cdr_text, events, table
+from millrace.operators import aggregate, joins, order, sets, sketches, stats
+from millrace.plans.base import SLICED_EVENTS, Cases, cdr_text, events, table
 from millrace.plans.projections import TOKENS
+from millrace.plans.replay import day_slices, replay
 
 CASES = Cases()
 
@@ -249,6 +250,60 @@ def freq_items(spark: SparkSession, sf: str) -> DataFrame:
     return aggregate.frequent_items(table(spark, sf, "lineitem"), "l_linenumber", 0.1)
 
 
+_ITEM = "event_type || ':' || CAST(floor(value / 20) AS INTEGER)"
+_ITEM_SHARE = 0.02
+
+
+@CASES.query(
+    "stat_freq_batches",
+    f"""WITH {SLICED_EVENTS}, upto AS (SELECT b.batch, {_ITEM} AS item FROM sliced s JOIN (SELECT unnest([0, 1, 2])::BIGINT AS batch) b ON s.batch_id <= b.batch)
+        SELECT batch, item, count(*) AS n FROM upto u GROUP BY batch, item
+        HAVING count(*) >= {_ITEM_SHARE} * (SELECT count(*) FROM upto v WHERE v.batch = u.batch)""",
+)
+def freq_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """The frequent items of a stream after each batch: candidates from the kept summaries, counted exactly.
+
+    The summaries have 60 counters a task, whatever the number of values; a candidate that falls short is dropped by the count.
+    """
+    path = scratch.new_dir(spark, "summaries")
+    rows = events(spark, sf).select(F.expr(_ITEM).alias("item"), "ts")
+    slices = day_slices(rows, "ts")
+    replay(spark, {"rows": slices}, lambda rows: rows.writeStream.foreachBatch(sketches.keep_items(path, "item", 60)), "freq-batches")
+    out = []
+    for batch in range(len(slices)):
+        candidates = sketches.kept_items(spark, path, _ITEM_SHARE, upto=batch).select(F.col("value").alias("item"))
+        so_far = sets.union_all(*slices[: batch + 1])
+        total = spark.read.parquet(path).where(F.col("batch_id") <= batch).agg(F.sum("rows").alias("all_rows"))
+        counted = so_far.join(candidates, "item", "left_semi").groupBy("item").agg(F.count(F.lit(1)).alias("n"))
+        frequent = counted.crossJoin(F.broadcast(total)).where(F.col("n") >= F.lit(_ITEM_SHARE) * F.col("all_rows"))
+        out.append(frequent.select(F.lit(batch).cast("long").alias("batch"), "item", "n"))
+    return sets.union_all(*out)
+
+
+_SKETCHED = ["l_quantity", "l_extendedprice", "l_discount"]
+
+
+@CASES.query(
+    "stat_quantile_sketch",
+    " UNION ALL ".join(
+        f"""SELECT '{c}' AS "column", p AS at, count({c}) AS n, true AS within FROM lineitem, (SELECT unnest([0.1, 0.5, 0.9])::DOUBLE AS p) GROUP BY p"""
+        for c in _SKETCHED
+    ),
+)
+def quantile_sketch(spark: SparkSession, sf: str) -> DataFrame:
+    """Quantiles from sketches of each line number, merged; ``within``: the exact rank of the value found is off by at most 2 %."""
+    lines = table(spark, sf, "lineitem").select("l_linenumber", *_SKETCHED)
+    merged = sketches.merged_sketches(sketches.quantile_sketches(lines, _SKETCHED, ["l_linenumber"]))
+    points = F.array(*[F.struct(F.lit(p).alias("at"), sketches.quantile("sketch", p).alias("value")) for p in (0.1, 0.5, 0.9)])
+    found = merged.select("column", F.kll_sketch_get_n_double("sketch").alias("n"), F.explode(points).alias("p"))
+    found = found.select("column", "n", "p.*").collect()  # nine rows
+    below = [F.count_if(F.col(r["column"]) < r["value"]).alias(f"b{i}") for i, r in enumerate(found)]
+    upto = [F.count_if(F.col(r["column"]) <= r["value"]).alias(f"u{i}") for i, r in enumerate(found)]
+    exact = lines.agg(*below, *upto).first()
+    rows = [(r["column"], r["at"], r["n"], exact[f"b{i}"] - 0.02 * r["n"] <= r["at"] * r["n"] <= exact[f"u{i}"] + 0.02 * r["n"]) for i, r in enumerate(found)]
+    return spark.createDataFrame(rows, "column string, at double, n long, within boolean")
+
+
 _DESCRIBED = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber"]
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace import scratch
@@ -193,7 +193,25 @@ def standard_scale(spark: SparkSession, sf: str) -> DataFrame:
     return values.select("l_orderkey", *_spread(F.col("scaled"), NUMERIC, 6))
 
 
-@CASES.query("ml_select_features")
+def _ordered_chi_sql() -> str:
+    """The features by how far their statistic lies in the tail: its cube root over the degrees of freedom is close to normal."""
+    tail = "(pow(statistic / degrees_of_freedom, 1 / 3.0) - (1 - 2 / (9.0 * degrees_of_freedom))) / sqrt(2 / (9.0 * degrees_of_freedom))"
+    tests = " UNION ALL ".join(_chi_sql(c) for c in CATEGORIES)
+    return f"(SELECT list(feature) AS names FROM (SELECT feature FROM ({tests}) ORDER BY {tail} DESC LIMIT 2))"
+
+
+def _chosen_sql(place: int) -> str:
+    """The value of the chosen feature in this place, in the order of the columns."""
+    own = [f"WHEN list_contains(names, '{c}') AND {' + '.join(['0'] + [f'list_contains(names, {chr(39)}{b}{chr(39)})::INT' for b in CATEGORIES[:i]])} = {place} THEN {c}" for i, c in enumerate(CATEGORIES)]
+    return f"CASE {' '.join(own)} END::DOUBLE"
+
+
+@CASES.query(
+    "ml_select_features",
+    f"""WITH t AS (SELECT l_orderkey, l_returnflag AS label, l_linenumber AS line, round(l_tax * 100) AS tax, floor(l_quantity / 10) AS decade FROM lineitem)
+        SELECT l_orderkey, CASE label WHEN 'A' THEN 0 WHEN 'N' THEN 1 ELSE 2 END::DOUBLE AS label, {_chosen_sql(0)} AS first, {_chosen_sql(1)} AS second
+        FROM t, {_ordered_chi_sql()}""",
+)
 def select_features(spark: SparkSession, sf: str) -> DataFrame:
     """The two categories that depend most on the label."""
     points = features.labelled(_categorical(spark, sf), "label", CATEGORIES, keep=["l_orderkey"])
@@ -329,8 +347,8 @@ def stream_kmeans(spark: SparkSession, sf: str) -> DataFrame:
 )
 def als(spark: SparkSession, sf: str) -> DataFrame:
     """Held-out (user, type) counts predicted from the others."""
-    numbers = events(spark, sf).select("event_type").distinct()
-    numbers = numbers.select(F.col("event_type").alias("kind"), F.row_number().over(Window.orderBy("event_type")).alias("activity"))
+    numbers = features.indexed_rows(events(spark, sf).select("event_type").distinct(), ["event_type"])
+    numbers = numbers.select(F.col("event_type").alias("kind"), (F.col("row_index") + 1).cast("int").alias("activity"))
     ratings = (
         events(spark, sf)
         .groupBy(F.col("user_id").cast("int").alias("subject"), "event_type")
@@ -424,9 +442,12 @@ def cross_validate(spark: SparkSession, sf: str) -> DataFrame:
     """
     rows = sampling.label_split(_activity(spark, sf), "event_id", 3, 10)
     train = rows.where("part = 'train'").cache()
-    best, scores = models.cross_validate(train, _BODY, seed=7, parallelism=4)
-    predicted = best.transform(rows.where("part = 'test'")).where("prediction IS NOT NULL").count()
-    mean_error = train.agg(F.stddev_pop("label")).first()[0]
+    try:
+        best, scores = models.cross_validate(train, _BODY, seed=7, parallelism=4)
+        predicted = best.transform(rows.where("part = 'test'")).where("prediction IS NOT NULL").count()
+        mean_error = train.agg(F.stddev_pop("label")).first()[0]
+    finally:
+        train.unpersist()
     return scores.select("p", "trees", (F.col("rmse") <= 1.5 * mean_error).alias("scored"), F.lit(predicted).alias("predicted"))
 
 

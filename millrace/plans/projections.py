@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from millrace import schemas
 from millrace.functions import clean, times, vectors
 from millrace.functions import text as X
-from millrace.operators import nulls, project
+from millrace.operators import nulls, project, variables
 from millrace.plans.base import Cases, cdr_text, events, k_of_props, table
 from millrace.plans.sourcing import landed_dictionary
 from millrace.sources import dictionary, documents
@@ -318,6 +318,17 @@ def time_bucket(spark: SparkSession, sf: str) -> DataFrame:
     return events(spark, sf).select("event_id", times.bucket_of_epoch_millis(millis).alias("bucket"))
 
 
+@CASES.query("prj_variable_bucket", "SELECT event_id, strftime(ts, '%y-%m-%d|%H') AS bucket FROM events WHERE value >= 12.5")
+def variable_bucket(spark: SparkSession, sf: str) -> DataFrame:
+    """A statement that takes its bucket format from a session variable, and its table and least value from markers."""
+    variables.declare(spark, date_fmt="yy-MM-dd|HH")
+    try:
+        bucket = "SELECT event_id, date_format(ts, date_fmt) AS bucket FROM {rows} WHERE value >= :least"
+        return variables.query(spark, bucket, {"least": 12.5}, rows=events(spark, sf))
+    finally:
+        variables.drop(spark, "date_fmt")  # the statement has read it
+
+
 @CASES.query(
     "flt_cross_column",
     """SELECT l_orderkey, l_linenumber, l_discount, l_tax FROM lineitem

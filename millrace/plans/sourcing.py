@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace import schemas, scratch
 from millrace.plans.base import Cases, events, table
-from millrace.sources import archives, dictionary, documents, envelope, polls, text
+from millrace.sources import archives, dictionary, documents, envelope, polls, text, variants
 from millrace.plans.replay import drain
 
 CASES = Cases()
@@ -117,6 +117,37 @@ def json_infer(spark: SparkSession, sf: str) -> DataFrame:
     return documents.infer(spark, path).select(*cols)
 
 
+@CASES.query(
+    "src_variant",
+    """SELECT event_id,
+              CASE event_type WHEN 'click' THEN 'number' WHEN 'view' THEN 'text' WHEN 'purchase' THEN 'object' WHEN 'error' THEN 'none' ELSE 'list' END AS kind,
+              CASE WHEN event_type <> 'error' THEN value END AS amount, CASE WHEN event_type = 'signup' THEN 2 END AS entries
+       FROM events""",
+)
+def variant(spark: SparkSession, sf: str) -> DataFrame:
+    """One field in five shapes: a number, a text, an object, a list and none; all are read without loss."""
+    path = scratch.new_dir(spark, "variants")
+    shaped = (
+        F.when(F.col("event_type") == "click", F.col("value").cast("string"))
+        .when(F.col("event_type") == "view", F.concat(F.lit('"'), F.col("value").cast("string"), F.lit('"')))
+        .when(F.col("event_type") == "purchase", F.to_json(F.struct(F.col("value").alias("amount"), F.col("user_id").alias("by"))))
+        .when(F.col("event_type") == "error", F.lit("null"))
+        .otherwise(F.concat(F.lit("["), F.col("value").cast("string"), F.lit(', "eur"]')))
+    )
+    events(spark, sf).select(F.concat(F.lit('{"id":'), "event_id", F.lit(',"v":'), shaped, F.lit("}"))).write.text(path)
+    docs = variants.parsed(text.lines(spark, path), "value")
+    kind = variants.type_of("doc", "$.v")
+    named = (
+        F.when(kind.rlike("^(DECIMAL|BIGINT|DOUBLE)"), "number").when(kind == "STRING", "text").when(kind == "VOID", "none")
+        .when(kind.startswith("OBJECT"), "object").when(kind.startswith("ARRAY"), "list")
+    )
+    amounts = [variants.field("doc", at, "double") for at in ("$.v", "$.v.amount", "$.v[0]")]
+    return docs.select(
+        variants.field("doc", "$.id", "bigint").alias("event_id"), named.alias("kind"), F.coalesce(*amounts).alias("amount"),
+        F.size(variants.field("doc", "$.v", "array<variant>")).alias("entries"),
+    ).withColumn("entries", F.when(F.col("kind") == "list", F.col("entries")))
+
+
 @CASES.query(
     "src_nested_json",
     """SELECT 'poll-' || CAST(o_orderkey // 32 AS VARCHAR) AS poll, CAST(o_orderkey AS INTEGER) AS id,

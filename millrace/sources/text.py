@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
-from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,14 +22,14 @@ def stream_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.readStream.text(path)
 
 
-def start_marker(spark: SparkSession, checkpoint: str) -> datetime:
-    """When the query of this checkpoint started for the first time, by the clock of the storage.
+def start_marker(spark: SparkSession, checkpoint: str) -> int:
+    """When the query of this checkpoint started for the first time, in microseconds by the clock of the storage.
 
     The first call leaves a small file beside the checkpoint's own, whose modification time is the start; later calls, after a restart too, read it.
     """
     path = f"{checkpoint}/started"
     spark.range(1).coalesce(1).write.mode("ignore").parquet(path)
-    return spark.read.parquet(path).agg(F.min("_metadata.file_modification_time")).scalar()
+    return spark.read.parquet(path).agg(F.min(F.unix_micros("_metadata.file_modification_time"))).first()[0]
 
 
 def stream_new_lines(spark: SparkSession, path: str, checkpoint: str) -> DataFrame:
@@ -39,8 +38,8 @@ def stream_new_lines(spark: SparkSession, path: str, checkpoint: str) -> DataFra
     Give the checkpoint the query will use. A file of the same millisecond as the start counts as there before; a file that
     was there and is written anew counts as new.
     """
-    start = start_marker(spark, checkpoint)
-    fresh = F.col("_metadata.file_modification_time") > F.lit(start)
+    start = F.timestamp_micros(F.lit(start_marker(spark, checkpoint)))
+    fresh = F.col("_metadata.file_modification_time") > start
     return spark.readStream.text(path).where(fresh).select("value")
 
 
