@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace import schemas, scratch
 from millrace.plans.base import Cases, events, table
-from millrace.sources import archives, dictionary, documents, envelope, polls, text, variants
+from millrace.sources import archives, dictionary, documents, envelope, polls, text, variants, zip_entries
 from millrace.plans.replay import drain
 
 CASES = Cases()
@@ -314,6 +314,23 @@ def archive_lines(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@CASES.query(
+    "src_zip_entries",
+    """SELECT 'archive' || (o_custkey % 3) || '.zip' AS file, 'part' || (o_orderkey % 17) || '.csv' AS entry, o_orderkey, o_custkey FROM orders""",
+)
+def zip_entry_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Three archives of 17 entries, each entry read from its own place."""
+    path = scratch.new_dir(spark, "zip-entries")
+    named = table(spark, sf, "orders").select(
+        F.concat(F.lit("archive"), F.pmod("o_custkey", F.lit(3))).alias("archive"), F.concat(F.lit("part"), F.pmod("o_orderkey", F.lit(17))).alias("entry"),
+        F.concat_ws(",", "o_orderkey", "o_custkey").alias("value"),
+    )
+    zip_entries.pack(named, path, "archive", "entry").count()
+    found = zip_entries.lines(zip_entries.entries(spark, path), task_bytes=8 << 10)
+    pair = F.split("value", ",")
+    return found.select("file", "entry", *[F.get(pair, F.lit(i)).cast("long").alias(n) for i, n in enumerate(("o_orderkey", "o_custkey"))])
+
+
 @CASES.query(
     "src_geojson",
     """SELECT s_suppkey AS id, x * 1.0 AS x1, y * 1.0 AS y1, x + 0.5 AS x2, y * 1.0 AS y2,

@@ -19,19 +19,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceStreamWriter, WriterCommitMessage
 from pyspark.sql.streaming import DataStreamWriter
 
-FORMAT = "millrace_outbox"
-
+from millrace.stores import store
 
-def _open(path: str) -> tuple[fs.FileSystem, str]:
-    files, inner = fs.FileSystem.from_uri(path) if ":" in path.split("/")[0] else (fs.LocalFileSystem(), path)
-    return files, inner.rstrip("/")
+FORMAT = "millrace_outbox"
 
 
 class SegmentClient:
     """A client that appends messages, one a line, to one segment; line ends inside a message are escaped."""
 
     def __init__(self, path: str, name: str):
-        files, inner = _open(path)
+        files, inner = store(path)
         files.create_dir(f"{inner}/segments", recursive=True)
         self.name, self.sent, self.sent_chars = name, 0, 0
         self.stream = files.open_output_stream(f"{inner}/segments/{name}")
@@ -75,7 +72,7 @@ class _Writer(DataSourceStreamWriter):
 
     def commit(self, messages: list[Receipt | None], batchId: int) -> None:
         receipts = [m for m in messages if m is not None and m.segment]
-        files, inner = _open(self.path)
+        files, inner = store(self.path)
         files.create_dir(f"{inner}/manifests", recursive=True)
         manifest = f"{inner}/manifests/{batchId:012d}.json"
         if files.get_file_info(manifest).type != fs.FileType.NotFound:  # published by an earlier attempt
@@ -92,7 +89,7 @@ class _Writer(DataSourceStreamWriter):
 
 
 def _drop(path: str, segments: list[str]) -> None:
-    files, inner = _open(path)
+    files, inner = store(path)
     for segment in segments:
         if files.get_file_info(f"{inner}/segments/{segment}").type != fs.FileType.NotFound:
             files.delete_file(f"{inner}/segments/{segment}")

@@ -16,18 +16,15 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 
+from millrace.stores import store
+
 FORMAT = "millrace_polls"
 SCHEMA = "input string, poll string, document string"
 
 
-def _open(path: str) -> tuple[fs.FileSystem, str]:
-    files, inner = fs.FileSystem.from_uri(path) if ":" in path.split("/")[0] else (fs.LocalFileSystem(), path)
-    return files, inner.rstrip("/")
-
-
 def landed(path: str, after: str = "") -> list[str]:
     """The names of the polls in a folder that come after ``after``, in order; hidden and marker files are none."""
-    files, inner = _open(path)
+    files, inner = store(path)
     found = files.get_file_info(fs.FileSelector(inner, allow_not_found=True))
     return sorted(f.base_name for f in found if f.type == fs.FileType.File and f.base_name[0] not in "._" and f.base_name > after)
 
@@ -64,7 +61,7 @@ class _Reader(DataSourceStreamReader):
         return [_Poll(path, name) for path in self.paths for name in landed(path, start.get(path, "")) if name <= end.get(path, "")]
 
     def read(self, partition: _Poll) -> Iterator[pa.RecordBatch]:
-        files, inner = _open(partition.path)
+        files, inner = store(partition.path)
         with files.open_input_stream(f"{inner}/{partition.name}") as stream:
             text = stream.read().decode()
         columns = [pa.array([value]) for value in (partition.path.rstrip("/").rsplit("/", 1)[-1], partition.name, text)]
