@@ -30,20 +30,29 @@ BYTE_VALUES[_SEPARATOR] = 0
 LOWER_VALUES[_SEPARATOR] = 0
 
 _powers = np.ones(1, np.uint64)
+#: Powers a worker keeps; longer words have theirs made anew.
+_KEPT_POWERS = 1 << 16
 
 
 def powers(n: int) -> np.ndarray:
-    """The first n powers of a fixed odd multiplier, modulo 2**64."""
+    """The first n powers (or more) of a fixed odd multiplier, modulo 2**64."""
     global _powers
-    if len(_powers) < n:
-        steps = np.full(max(n, 1 << 12), _ODD, np.uint64)
-        steps[0] = 1
-        _powers = np.cumprod(steps)
-    return _powers
+    if len(_powers) >= n:
+        return _powers
+    steps = np.full(max(n, 1 << 12), _ODD, np.uint64)
+    steps[0] = 1
+    made = np.cumprod(steps)
+    if n <= _KEPT_POWERS:
+        _powers = made
+    return made
 
 
 def column_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The bytes of a string or binary column in one array, and the n + 1 row offsets; null is empty."""
+    """The bytes of a string or binary column in one array, and the n + 1 row offsets; null is empty.
+
+    Memory that earlier batches have given back to Arrow's pool goes back to the system first: workers outlive their stage.
+    """
+    pa.default_memory_pool().release_unused()
     column = column.cast(pa.large_binary())
     if column.null_count:
         column = pc.fill_null(column, b"")

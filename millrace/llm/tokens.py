@@ -19,8 +19,8 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: How the vocabulary's texts were cut before merging (fixed value).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-#: Words whose ids a worker keeps.
-KEPT_WORDS = 600_000
+#: Words whose ids a worker keeps, some 260 bytes each.
+KEPT_WORDS = 30_000
 
 # a cut before a lone space between two other characters is one the pattern makes too
 _UNSAFE = re.compile(r"^\s|\s$| \s|\s ")
