@@ -223,19 +223,35 @@ def select_features(spark: SparkSession, sf: str) -> DataFrame:
 
 @CASES.query(
     "ml_pca",
-    """SELECT vec_id, CASE WHEN vec_id % 10 < 3 THEN 'test' ELSE 'train' END AS part, CAST(32 AS INTEGER) AS dimensions,
-              true AS not_longer FROM embeddings""",
+    """WITH x AS (SELECT vec_id, vec_id % 10 < 3 AS test, unnest(embedding)::DOUBLE AS v, unnest(range(1, len(embedding) + 1)) AS d FROM embeddings),
+            spread AS (SELECT sum(var) AS total FROM (SELECT d, var_samp(v) AS var FROM x WHERE NOT test GROUP BY d)),
+            sizes AS (SELECT vec_id, sqrt(sum(v * v)) AS whole FROM x GROUP BY vec_id)
+       SELECT vec_id, CASE WHEN vec_id % 10 < 3 THEN 'test' ELSE 'train' END AS part, round(whole, 6) AS whole, true AS shorter,
+              round(total, 6) AS total, true AS falling, true AS uncorrelated
+       FROM sizes, spread""",
 )
 def pca(spark: SparkSession, sf: str) -> DataFrame:
-    """Half the dimensions, fitted on the training part and applied to both; a projection is never longer than its vector."""
+    """Half the dimensions, fitted on the training part and applied to both.
+
+    ``total`` is the variance of the training part as the model's shares give it back: that of its first component over its share. ``falling``: the
+    variances of the components fall; ``uncorrelated``: the first two do not go together; ``shorter``: no projection is longer than its vector.
+    """
     rows = sampling.label_split(table(spark, sf, "embeddings"), "vec_id", 3, 10)
     vectors = features.from_array(rows, "embedding")
-    projected = features.pca(vectors.where("part = 'train'"), 32).transform(vectors)
-    length = lambda c: F.aggregate(c, F.lit(0.0), lambda acc, x: acc + x * x)
-    return features.as_array(projected, "components").select(
-        "vec_id", "part", F.size("components").alias("dimensions"),
-        (length("components") <= length(F.col("embedding").cast("array<double>")) * (1 + 1e-6) + 1e-6).alias("not_longer"),
-    )
+    model = features.pca(vectors.where("part = 'train'"), 32)
+    projected = features.as_array(model.transform(vectors), "components")
+    c = F.col("components")
+    shares = model.explainedVariance.toArray().tolist()
+    facts = projected.where("part = 'train'").agg(
+        F.round(F.var_samp(c[0]) / shares[0], 6).alias("total"),
+        F.array(*[F.var_samp(c[i]) for i in range(32)]).alias("variances"), F.corr(c[0], c[1]).alias("r"),
+    )
+    falling = F.forall(F.sequence(F.lit(2), F.lit(32)), lambda i: F.element_at("variances", i) <= F.element_at("variances", i - 1) * (1 + 1e-9))
+    facts = facts.select("total", falling.alias("falling"), (F.abs("r") < 1e-6).alias("uncorrelated"))
+    length = lambda v: F.sqrt(F.aggregate(v, F.lit(0.0), lambda acc, x: acc + x * x))
+    whole = length(F.col("embedding").cast("array<double>"))
+    kept = projected.select("vec_id", "part", F.round(whole, 6).alias("whole"), (length(c) <= whole * (1 + 1e-6) + 1e-6).alias("shorter"))
+    return kept.crossJoin(F.broadcast(facts))  # one row of facts
 
 
 _WEIGHTS = ["w1", "w2"]

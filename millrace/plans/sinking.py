@@ -151,7 +151,7 @@ def outbox_sink(spark: SparkSession, sf: str) -> DataFrame:
        FROM events GROUP BY user_id""",
 )
 def keyed_upsert(spark: SparkSession, sf: str) -> DataFrame:
-    store = UpsertLog(scratch.new_dir(spark, "latest"), ("user_id",))
+    store = UpsertLog(scratch.new_dir(spark, "latest"), ("user_id",), fold_every=2)
     rows = events(spark, sf).select("user_id", "ts", "event_type", "value")
     store.create_if_missing(spark, rows.schema)
     replay_batches(

@@ -190,6 +190,24 @@ def test_upsert_last_write_wins_and_compacts(spark):
     assert sorted((r["k"], r["v"]) for r in folded.read(spark).collect()) == [("a", 3), ("b", 1)]
 
 
+def test_upsert_log_folds_as_it_goes(spark):
+    path = scratch.new_dir(spark, "log")
+    store = UpsertLog(path, ("k",), fold_every=2)
+    plain = UpsertLog(scratch.new_dir(spark, "log"), ("k",))
+    for n in range(5):
+        rows = spark.createDataFrame([(k, n) for k in range(n, n + 3)], "k int, v int")
+        for log in (store, plain):
+            log.write(rows, n)
+        assert sorted(map(tuple, store.read(spark).collect())) == sorted(map(tuple, plain.read(spark).collect()))
+    assert store.folds(spark) == [1, 3]
+    files = {f.rsplit("/", 2)[-2] for f in store.read(spark).inputFiles()}
+    assert files == {"000000000003", "batch_id=4"}  # nothing older is read
+    store.write(spark.createDataFrame([(9, 3)], "k int, v int"), 3)  # the batch runs again with the same rows and more
+    assert (9, 3) in set(map(tuple, store.read(spark).collect())) and store.folds(spark) == [1, 3]
+    as_of = {(k, v) for k, v in map(tuple, store.read(spark, upto=1).collect())}
+    assert as_of == {(0, 0), (1, 1), (2, 1), (3, 1)}
+
+
 def test_interval_join_ends_at_the_span(spark):
     left = at(spark, (0, "a", 1), (1, "b", 1)).withColumnRenamed("ts", "lts").withColumnRenamed("k", "lk")
     right = at(spark, (2, "a", 1), (1.5, "b", 1), (0.5, "b", 2), (30, "a", 9)).withColumnRenamed("ts", "rts").withColumnRenamed("k", "rk").withColumnRenamed("v", "rv")
