@@ -35,10 +35,11 @@ def _bytes(text: str) -> float:
 
 
 def estimated_bytes(df: DataFrame) -> float:
-    """Spark's own estimate of the size of ``df``, as its explained plan tells it."""
+    """Spark's own estimate of the size of ``df``, as its explained plan tells it; where it tells none, Spark's default for an unknown size."""
     with contextlib.redirect_stdout(io.StringIO()) as told:
         df.explain("cost")
-    return _bytes(re.search(r"sizeInBytes=([^,)]+)", told.getvalue())[1])
+    found = re.search(r"sizeInBytes=([^,)]+)", told.getvalue())
+    return _bytes(found[1]) if found else float((1 << 63) - 1)
 
 
 def support_of(df: DataFrame) -> float:

@@ -24,9 +24,10 @@ def register_lookup(
     resolved = first.toDF("code", "via").join(second.toDF("via", "name"), "via").select("code", "name")
     resolved.createOrReplaceTempView(view)
     kind = first.schema[code].dataType.simpleString()
+    quoted = default.replace("\\", "\\\\").replace("'", "\\'")
     spark.sql(
         f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(wanted {kind}) RETURNS STRING "
-        f"RETURN coalesce((SELECT max(name) FROM {view} WHERE code = wanted), '{default}')"
+        f"RETURN coalesce((SELECT max(name) FROM {view} WHERE code = wanted), '{quoted}')"
     )
 
 

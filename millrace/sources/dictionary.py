@@ -2,27 +2,29 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-LANGUAGES = ("German", "French", "Italian", "Spanish")
-
 
 def dictionary(spark: SparkSession, directory: str, language: str) -> DataFrame:
     """(word, translation) of ``directory/language``.
 
     "Last" follows file name, position of the split in its file, then line order in
-    the split, so it does not depend on how the files were divided into tasks.
+    the split, so it does not depend on how the files were divided into tasks. A language without a list is a ``ValueError``.
     """
-    if language not in LANGUAGES:
-        raise ValueError(f"unknown language {language!r}, expected one of {LANGUAGES}")
-    raw = (
+    reader = (
         spark.read.schema("word string, translation string")
         .option("comment", "#")
         .option("encoding", "ISO-8859-1")
         .option("quote", "")
-        .csv(f"{directory}/{language}", sep="\t")
     )
+    try:
+        raw = reader.csv(f"{directory}/{language}", sep="\t")
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            raise ValueError(f"unknown language {language!r}: no word list under {directory}") from error
+        raise
     place = F.struct(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),

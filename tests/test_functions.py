@@ -216,3 +216,8 @@ def test_csv_inference_and_rename(spark, tmp_path):
     df = text_source.tab_table(spark, str(tmp_path), ["i", "d", "s"])
     assert df.dtypes == [("i", "int"), ("d", "double"), ("s", "string")]
     assert os.path.exists(tmp_path)
+
+
+def test_a_word_list_of_any_name(spark, tmp_path):
+    (tmp_path / "Dutch").write_text("# words\nhuis\thouse\nhuis\thome\n", encoding="iso-8859-1")
+    assert [tuple(r) for r in dictionary.dictionary(spark, str(tmp_path), "Dutch").collect()] == [("huis", "home")]

@@ -139,6 +139,12 @@ def test_lookup_function_and_join_agree(spark):
     assert sorted(joined.collect()) == want == sorted(called.collect())
 
 
+def test_lookup_default_with_an_apostrophe(spark):
+    names = spark.createDataFrame([(1, 1)], "code int, via int"), spark.createDataFrame([(1, "one")], "via int, name string")
+    udf.register_lookup(spark, "named", *names, default="it's \\ none")
+    assert [r[0] for r in spark.sql("SELECT named(x) FROM VALUES (1), (2) AS t(x)").collect()] == ["one", "it's \\ none"]
+
+
 def test_grouping_then_summing_equals_combining(skewed):
     combined = aggregate.reduce_by_key(skewed, ["k"], F.col("id"), "s").collect()
     grouped = (
