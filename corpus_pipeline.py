@@ -60,7 +60,8 @@ STAGES = [
     ("tokens", token_shards),
 ]
 
-#: The classifier and the tokenizer are beyond SQL; tests compare every stage with a brute-force version.
+#: The classifier and the tokenizer are beyond SQL. Tests compare the quality and mix stages with their operators, and look for planted near copies, leaks
+#: and tokens by id; the operators have brute-force tests of their own.
 ORACLE_SQL = None
 
 
