@@ -2,7 +2,9 @@
 
 Words lose the punctuation around them; numbers (also in words, or with a unit glued on), names and units become typed
 placeholders, the rest is lower-cased. A capitalised word that opens a sentence may be a name: windows with it stand and are looked up
-in both forms.
+in both forms. An item's window stands in every reading if up to three of its words may be names, else with all of them as names or as
+literals, or all but one; a document's is looked up in every reading that begins like an item's, some windows at a time, so a list with
+a capital on every line takes about what other texts take.
 Windows of ``WIDTH`` canonical words of the benchmark form a hash table; every document's rolling windows are looked up in it.
 Windows of one document that hit one item at about one distance, in the same order, form an alignment, to which shorter runs of equal
 words beside them are added; so a word more, less or changed does not cut an item in two. Texts are compared once more with runs of
@@ -33,6 +35,8 @@ SHIFT, RUN = 4, 4
 #: Share of an item's words that a consistent alignment must cover.
 COVERAGE = 0.6
 BLOCK_BYTES = 8 << 20
+#: Windows of texts whose readings a task holds at once.
+WINDOWS = 1 << 14
 
 LITERAL, NUMBER, UNIT, NAME = range(4)
 _SLOT = T.mix(np.arange(51, 55, dtype=np.uint64))
@@ -148,35 +152,71 @@ def canonical(data: np.ndarray, ends: np.ndarray):
     return np.where(kind == LITERAL, value, _SLOT[kind]), kind, value, words, capital & sentence & (kind == LITERAL)
 
 
-def window_keys(hashes: np.ndarray, kind: np.ndarray, value: np.ndarray, maybe: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of the windows of ``size`` canonical words from every word on, and where these are; a window that holds words that
-    may be names has a key for every choice.
+def _with_values(keys: np.ndarray, place: np.ndarray, literal: np.ndarray, value: np.ndarray, size: int) -> np.ndarray:
+    """Keys that hold the values of the slots too where a window has too few literals: a text of numbers alone does not meet every
+    list of numbers in the benchmark.
+    """
+    few = np.flatnonzero(literal < min(LITERALS, size))
+    if len(few):
+        values = T.mix(value[place[few][:, None] + np.arange(size)]) * T.powers(size)[:size]
+        keys[few] = T.mix(keys[few] ^ values.sum(1))
+    return keys
+
+
+def _within(marked: np.ndarray, place: np.ndarray, size: int) -> np.ndarray:
+    """How many words of each window are marked."""
+    count = np.concatenate(([0], np.cumsum(marked)))
+    return count[place + size] - count[place]
+
 
-    A window with too few literals must agree in its slots' values as well, so these are part of its key: a text of numbers
-    alone does not meet every list of numbers in the benchmark.
+def item_keys(hashes: np.ndarray, kind: np.ndarray, value: np.ndarray, maybe: np.ndarray, place: np.ndarray, size: int):
+    """Keys of an item's windows of ``size`` canonical words, where these are, and hashes of their first halves.
+
+    A window whose words may be names stands with all of them as literals, all as names, and all but one as either: every reading
+    where there are up to three of them, and a number of keys linear in ``size`` for any number.
+    """
+    powers, half = T.powers(size)[:size], size // 2
+    raw = np.zeros((2, len(place)), np.uint64)  # of the whole window and of its first half
+    change = np.zeros_like(raw)
+    step = lambda at, k: (_SLOT[NAME] - hashes[at + k]) * powers[k] * maybe[at + k]
+    for k in range(size):
+        rows = slice(0, 2 if k < half else 1)
+        raw[rows] += hashes[place + k] * powers[k]
+        change[rows] += step(place, k)
+    literal, open_words = _within(kind == LITERAL, place, size), _within(maybe, place, size)
+    parts = [(raw, place, literal)]
+    if (some := np.flatnonzero(open_words)).size:
+        named = raw[:, some] + change[:, some]
+        parts.append((named, place[some], literal[some] - open_words[some]))
+    for k in range(size):
+        for least, sign in ((2, 1), (3, -1)):
+            pick = np.flatnonzero((open_words >= least) & maybe[place + k])
+            one = np.zeros((2, len(pick)), np.uint64)
+            one[: 2 if k < half else 1] = step(place[pick], k)
+            if sign > 0:
+                parts.append((raw[:, pick] + one, place[pick], literal[pick] - 1))
+            else:
+                parts.append((raw[:, pick] + change[:, pick] - one, place[pick], literal[pick] - open_words[pick] + 1))
+    raw = np.concatenate([x[0] for x in parts], axis=1)
+    place, literal = (np.concatenate([x[i] for x in parts]) for i in (1, 2))
+    return _with_values(T.mix(raw[0]), place, literal, value, size), place, np.unique(raw[1])
+
+
+def text_keys(hashes: np.ndarray, kind: np.ndarray, value: np.ndarray, maybe: np.ndarray, place: np.ndarray, size: int, halves: np.ndarray):
+    """Keys of a text's windows at some places, and where these are: one for every reading of the words that may be names whose first half
+    is among the sorted ``halves`` of the items.
     """
-    keys, place = T.rolling(hashes, size), np.arange(len(hashes))
-    literals = np.concatenate(([0], np.cumsum(kind == LITERAL)))
-    literal = literals[np.minimum(place + size, len(hashes))] - literals[:-1]
-    among = np.concatenate(([0], np.cumsum(maybe)))
-    some = np.flatnonzero(among[size:] > among[: max(0, len(among) - size)])
-    if len(some):
-        base, powers = len(some), T.powers(size)[:size]
-        raw = np.zeros(base, np.uint64)
-        for k in range(size):
-            raw += hashes[some + k] * powers[k]
-        where, count = some, literal[some]
-        for k in range(size):
-            pick = np.flatnonzero(maybe[where + k])
-            named = raw[pick] + (_SLOT[NAME] - hashes[where[pick] + k]) * powers[k]
-            raw, where, count = np.append(raw, named), np.append(where, where[pick]), np.append(count, count[pick] - 1)
-        keys = np.append(keys, T.mix(raw[base:]))
-        place, literal = np.append(place, where[base:]), np.append(literal, count[base:])
-    vague = np.flatnonzero((literal < min(LITERALS, size)) & (place + size <= len(hashes)))
-    if len(vague):
-        values = T.mix(value[place[vague][:, None] + np.arange(size)]) * T.powers(size)[:size]
-        keys[vague] = T.mix(keys[vague] ^ values.sum(1))
-    return keys, place
+    powers, half = T.powers(size)[:size], size // 2
+    raw, literal = np.zeros(len(place), np.uint64), _within(kind == LITERAL, place, size)
+    for k in range(size):
+        pick = np.flatnonzero(maybe[place + k])
+        named, word = raw[pick] + _SLOT[NAME : NAME + 1] * powers[k], hashes[place + k] * powers[k]
+        raw = np.append(raw + word, named)
+        place, literal = np.append(place, place[pick]), np.append(literal, literal[pick] - 1)
+        if k + 1 == half:
+            live = np.flatnonzero(T.member(raw, halves))
+            raw, place, literal = raw[live], place[live], literal[live]
+    return _with_values(T.mix(raw), place, literal, value, size), place
 
 
 def joined_runs(hashes: np.ndarray, kind: np.ndarray, value: np.ndarray, words: np.ndarray, maybe: np.ndarray):
@@ -235,16 +275,16 @@ class Items:
             self.joined = Items(ids, texts, width, True)
         self.hashes, self.kind, self.value, self.words, self.maybe = words
         self.length = np.diff(self.words)
+        self.vocabulary = np.unique(self.hashes[self.kind == LITERAL])
         self.tables = {}
         # items of fewer words than a window are windows of their own length
         for size in sorted({min(width, int(n)) for n in self.length if n}):
             fit = T.fits(self.words, size)
             if size < width:
                 fit &= np.repeat(self.length == size, self.length)
-            keys, place = window_keys(self.hashes, self.kind, self.value, self.maybe, size)
-            keys, place = keys[fit[place]], place[fit[place]]
+            keys, place, halves = item_keys(self.hashes, self.kind, self.value, self.maybe, np.flatnonzero(fit), size)
             order = np.argsort(keys, kind="stable")
-            self.tables[size] = (keys[order], place[order])
+            self.tables[size] = (keys[order], place[order], halves)
 
     def matches(self, data: np.ndarray, ends: np.ndarray):
         """Per document with a consistent match: its place, and its items with the share covered."""
@@ -261,18 +301,25 @@ class Items:
                 out[doc][item] = max(share, out[doc].get(item, 0.0))
         return out
 
+    def hits(self, hashes, kind, value, words, maybe):
+        """Windows of texts that equal windows of items in some reading: their first words and their size."""
+        # a word that no item has can only be a name there
+        name = maybe & ~T.member(hashes, self.vocabulary)
+        hashes, kind, maybe = np.where(name, _SLOT[NAME], hashes), np.where(name, NAME, kind), maybe & ~name
+        for size, (keys, places, halves) in self.tables.items():
+            every = np.flatnonzero(T.fits(words, size))
+            for first in range(0, len(every), WINDOWS):
+                grams, at = text_keys(hashes, kind, value, maybe, every[first : first + WINDOWS], size, halves)
+                for g in np.flatnonzero(T.member(grams, keys)):
+                    for p in places[np.searchsorted(keys, grams[g], "left") : np.searchsorted(keys, grams[g], "right")]:
+                        yield int(at[g]), int(p), size
+
     def _matches(self, hashes, kind, value, words, maybe):
         found: dict = defaultdict(lambda: defaultdict(set))
-        for size, (keys, places) in self.tables.items():
-            if not len(hashes):
-                break
-            grams, at = window_keys(hashes, kind, value, maybe, size)
-            for g in np.flatnonzero(T.member(grams, keys) & T.fits(words, size)[at]):
-                w = int(at[g])
-                doc = int(np.searchsorted(words, w, "right")) - 1
-                for p in places[np.searchsorted(keys, grams[g], "left") : np.searchsorted(keys, grams[g], "right")]:
-                    item = int(np.searchsorted(self.words, p, "right")) - 1
-                    found[doc, item][w - int(p)].add((int(p), size))
+        for w, p, size in self.hits(hashes, kind, value, words, maybe):
+            doc = int(np.searchsorted(words, w, "right")) - 1
+            item = int(np.searchsorted(self.words, p, "right")) - 1
+            found[doc, item][w - p].add((p, size))
         out: dict = defaultdict(dict)
         for (doc, item), windows in found.items():
             text = tuple(x[words[doc] : words[doc + 1]] for x in (hashes, kind, value, maybe))

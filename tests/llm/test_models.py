@@ -2,14 +2,18 @@
 
 import math
 import re
+import subprocess
+import sys
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from millrace.llm import maxent, quality, templates
+from millrace.llm import text as T
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
@@ -140,6 +144,63 @@ def test_lists_of_numbers_meet_their_equals_only():
     assert {items.ids[i]: share for i, share in found.items()} == {1: 1.0}
 
 
+def test_windows_are_found_in_every_reading():
+    draw, size = np.random.default_rng(9), 6
+
+    def text(n, capitals, stops):
+        words = [w.capitalize() if draw.random() < capitals else w for w in draw.choice(["tom", "milk", "sells", "the"], n)]
+        return " ".join(w + "." * (draw.random() < stops) for w in words)
+
+    items = templates.Items(list(range(20)), [text(12, 0.4 + 0.05 * (i % 5), 0.5) for i in range(20)], size)
+    texts = [text(80, capitals, stops) for capitals in (0.1, 0.3, 0.7) for stops in (0.1, 0.4) for _ in range(120)]
+    data, ends = T.column_bytes(pa.array(texts))
+    hashes, kind, value, words, maybe = templates.canonical(data, ends)
+    found = {(w, p) for w, p, _ in items.hits(hashes, kind, value, words, maybe)}
+    every = np.flatnonzero(T.fits(words, size))
+    must = may = 0
+    for p in np.flatnonzero(T.fits(items.words, size)).tolist():
+        alike, literal, equal = np.ones(len(every), bool), np.zeros(len(every), int), np.ones(len(every), bool)
+        for k in range(size):
+            w = every + k
+            same = items.hashes[p + k] == hashes[w]
+            named = (items.kind[p + k] == templates.NAME) | items.maybe[p + k]
+            alike &= same | (named & ((kind[w] == templates.NAME) | maybe[w]))
+            literal += same & (kind[w] == templates.LITERAL)
+            equal &= items.value[p + k] == value[w]
+        alike &= (literal >= templates.LITERALS) | equal
+        all_of_them = set(every[alike].tolist())
+        mine = {w for w, q in found if q == p}
+        assert mine <= all_of_them
+        if items.maybe[p : p + size].sum() <= 3:
+            assert mine == all_of_them
+            must += len(mine)
+        may += len(all_of_them)
+    assert must > 1000 and may > must and len(found) > 0.98 * may
+
+
+LIST = """
+import resource, sys
+import numpy as np
+from millrace.llm import templates
+names = "Farmer Named Has Apples And Sells Of Them To For Dollars Rome Paris Berlin Vienna Pick One Milk Bread Chair".split()
+list_item = "Pick one\\nRome\\nParis\\nBerlin\\nVienna\\nPick\\nOne\\nMilk\\nChair"
+items = templates.Items([0, 1], [sys.argv[1], list_item], templates.WIDTH)
+text = "\\n".join(names[i] for i in np.random.default_rng(5).integers(0, len(names), 380_000)) + "\\n" + list_item
+data = np.frombuffer(text.encode(), np.uint8)
+assert len(data) > 2_000_000
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+found = items.matches(data, np.array([0, len(data)]))
+assert {items.ids[i] for i, share in found[0].items() if share == 1.0} == {1}, dict(found)
+print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) // 1024)
+"""
+
+
+def test_a_list_with_a_capital_on_every_line_takes_bounded_memory():
+    run = subprocess.run([sys.executable, "-c", LIST, QUESTION], capture_output=True, text=True, check=False, timeout=120)
+    assert run.returncode == 0, run.stderr
+    assert int(run.stdout) < 150
+
+
 def test_short_items_blocks_and_odd_rows(spark, odd, nothing):
     items = ["two words", None, "", QUESTION, "two words"]
     assert search(spark, ["Two words", "three words", "some two words here"], items)[0] == [0, 4]
