@@ -2,7 +2,8 @@
 
 Words lose the punctuation around them; numbers (also in words, or with a unit glued on), names and units become typed
 placeholders, the rest is lower-cased. A capitalised word that opens a sentence may be a name: windows with it stand and are looked up
-in both forms. An item's window stands in every reading if up to three of its words may be names, else with all of them as names or as
+in both forms. Inside a German sentence a capital is no sign of a name, so there numbers, units and opening words only may differ.
+An item's window stands in every reading if up to three of its words may be names, else with all of them as names or as
 literals, or all but one; a document's is looked up in every reading that begins like an item's, some windows at a time, so a list with
 a capital on every line takes about what other texts take.
 Windows of ``WIDTH`` canonical words of the benchmark form a hash table; every document's rolling windows are looked up in it.
@@ -41,23 +42,46 @@ WINDOWS = 1 << 14
 LITERAL, NUMBER, UNIT, NAME = range(4)
 _SLOT = T.mix(np.arange(51, 55, dtype=np.uint64))
 
-#: Words that are units when they follow a number.
+#: Words that are units when they follow a number: symbols and English, German, French and Spanish words.
 UNITS = (
     "mm cm m km in inch inches ft foot feet yd yard yards mile miles mg g kg t lb lbs oz gram grams kilogram kilograms ton tons "
     "ml l liter liters litre litres gallon gallons s sec second seconds min minute minutes h hr hour hours day days week weeks "
-    "month months year years % percent degree degrees c f k usd eur gbp dollar dollars euro euros cent cents pound pounds"
+    "month months year years % percent degree degrees c f k usd eur gbp dollar dollars euro euros cent cents pound pounds "
+    "meter metern kilometer kilometern gramm kilogramm tonne tonnen sekunde sekunden minuten stunde stunden tag tage tagen woche wochen "
+    "monat monate monaten jahr jahre jahren prozent grad pfund "
+    "mètre mètres kilomètre kilomètres gramme grammes kilogramme kilogrammes tonnes seconde secondes heure heures jour jours semaine "
+    "semaines mois ans degré degrés livre livres "
+    "metro metros kilómetro kilómetros gramo gramos kilogramo kilogramos tonelada toneladas litro litros segundo segundos minuto minutos "
+    "hora horas día días semana semanas mes meses año años grado grados libra libras"
 ).split()
 
-#: Number words stand for their figures.
+#: Number words of four languages stand for their figures; words that are often something else (ein, elf, un, once) are left out.
 NUMBER_WORDS = dict(
-    zip(
-        "zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen "
-        "nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion".split(),
-        map(str, [*range(20), *range(20, 101, 10), 1000, 1000000, 1000000000]),
-        strict=True,
+    pair
+    for words, figures in (
+        (
+            "zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen "
+            "nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion",
+            [*range(20), *range(20, 101, 10), 1000, 1000000, 1000000000],
+        ),
+        ("null eins zwei drei vier fünf sechs sieben acht neun zehn zwölf", [*range(11), 12]),
+        ("zwanzig dreißig vierzig fünfzig sechzig siebzig achtzig neunzig hundert tausend", [*range(20, 101, 10), 1000]),
+        ("zéro deux trois quatre cinq six sept huit neuf dix onze douze", [0, *range(2, 13)]),
+        ("vingt trente quarante cinquante soixante cent mille", [*range(20, 61, 10), 100, 1000]),
+        ("cero uno dos tres cuatro cinco seis siete ocho nueve diez doce", [*range(11), 12]),
+        ("veinte treinta cuarenta cincuenta sesenta setenta ochenta noventa cien mil", [*range(20, 101, 10), 1000]),
     )
+    for pair in zip(words.split(), map(str, figures), strict=True)
 )
 
+#: Words that tell a German sentence, whose nouns all have capitals; words that are English, French or Spanish too are left out.
+GERMAN = (
+    "der das und ist nicht ein eine einen einem einer dem auf für von zu im zum zur wie viele wird werden sind auch nach bei aus dann "
+    "oder wenn haben sich mit noch nur über unter zwischen vor ich wir sie ihr ihre sein seine kann jeden jede jeder"
+).split()
+#: Share of such words, and their least number, in a German sentence.
+GERMAN_SHARE, GERMAN_LEAST = 0.1, 2
+
 
 def _bytes_in(chars: bytes) -> np.ndarray:
     table = np.zeros(256, bool)
@@ -101,7 +125,7 @@ def _split_units(data: np.ndarray, low: np.ndarray, high: np.ndarray, sentence:
     return np.insert(low, some + 1, middle), np.insert(last, some + 1, high[some]), np.insert(sentence, some + 1, False), words
 
 
-_UNITS = np.sort(_hash_words(UNITS))
+_UNITS, _GERMAN = np.unique(_hash_words(UNITS)), np.unique(_hash_words(GERMAN))
 _SPELT, _FIGURES = _hash_words(list(NUMBER_WORDS)), _hash_words(list(NUMBER_WORDS.values()))
 _SPELT, _FIGURES = np.sort(_SPELT), _FIGURES[np.argsort(_SPELT)]
 
@@ -145,7 +169,11 @@ def canonical(data: np.ndarray, ends: np.ndarray):
     kind[spelt] = NUMBER
     value[spelt] = _FIGURES[np.searchsorted(_SPELT, value[spelt])]
     capital = (kind == LITERAL) & _UPPER[packed[at[:-1]]] & (per_word(_LOWERCASE) > 0)
-    kind[capital & ~sentence] = NAME
+    # capitals of a German sentence are nouns, no sign of a name
+    one = np.cumsum(sentence) - 1
+    german = np.bincount(one, T.member(value, _GERMAN))
+    german = (german >= GERMAN_LEAST) & (german >= GERMAN_SHARE * np.bincount(one))
+    kind[capital & ~sentence & ~german[one]] = NAME
     after_number = np.concatenate(([False], kind[:-1] == NUMBER))
     after_number[words[:-1][np.diff(words) > 0]] = False
     kind[after_number & (kind != NUMBER) & T.member(value, _UNITS)] = UNIT

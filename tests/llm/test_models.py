@@ -178,6 +178,26 @@ def test_windows_are_found_in_every_reading():
     assert must > 1000 and may > must and len(found) > 0.98 * may
 
 
+GERMAN = "Jeden Morgen verkauft der alte Bauer auf dem Markt frische Milch und fragt dann die Frau nach dem Preis"
+
+
+def test_german_nouns_are_no_names(spark):
+    other = GERMAN
+    for a, b in zip("Morgen Bauer Markt Milch Frau Preis".split(), "Abend Lehrer Platz Luft Katze Wetter".split(), strict=True):
+        other = other.replace(a, b)
+    farm = "Auf dem Hof stehen 12 Kisten mit Milch und in jeder Kiste sind 30 Flaschen für den Markt"
+    moved = farm.replace("12", "fünf").replace("30", "44")
+    nouns = farm.replace("Hof", "Feld").replace("Kisten", "Hunde").replace("Milch", "Brot").replace("Kiste", "Hütte").replace("Flaschen", "Katzen")
+    texts = [GERMAN, other, "Text davor. " + GERMAN + " Und mehr.", GERMAN.upper(), moved, nouns]
+    assert search(spark, texts, [GERMAN, farm]) == {0: [0], 1: [], 2: [0], 3: [0], 4: [1], 5: []}
+
+
+def test_numbers_and_units_of_other_languages(spark):
+    items = ["Le train part à huit heures et roule pendant 3 jours avant la ville", "El tren sale en 5 horas y tarda dos semanas hasta la ciudad"]
+    texts = [items[0].replace("huit", "9").replace("3 jours", "12 semaines"), items[1].replace("5 horas", "7 días").replace("dos", "4")]
+    assert search(spark, texts, items) == {0: [0], 1: [1]}
+
+
 LIST = """
 import resource, sys
 import numpy as np
