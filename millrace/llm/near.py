@@ -2,24 +2,29 @@
 
 1. Every document gets its distinct 5-word shingles, a fingerprint of that set and ``TREES * LEVELS`` MinHash values. Documents
    with one and the same set are represented by the smallest id.
-2. Each tree is one sorted order of the signatures. Documents that share a prefix are a region of it. A prefix starts with
-   ``BASE`` values; regions of more than ``REGION`` documents go on to longer prefixes. What is alike to the last
-   value and still too large is dealt into blocks that share one document.
-3. In a region, sketches tell which documents may be linked; each connected lot gives edges to its smallest document.
+2. Each tree is one order of the signatures, sorted by ranges. Neighbours whose longest common prefix has ``BASE`` values or
+   more are a run. All documents of a run are candidates of each other; in a run above ``REGION`` they are those of windows of
+   ``REGION`` rows, half of which overlap, so the prefix asked for is as deep as the run is crowded there.
+3. In a window, sketches tell which documents may be linked; each connected lot gives edges to its smallest document.
    The components of these edges over all trees are the candidate clusters.
 4. The full sets of a cluster are compared pair by pair inside one task; a cluster larger than ``REGION`` is compared
-   region by region instead, and what has more than ``SHINGLES`` shingles is dealt into blocks, two of which meet in a
-   task. Lots of confirmed links give edges again, and their components are the result.
-
-At a similarity of 0.75 a pair shares no region of any tree with probability below 2e-6. No pair is ever a row: tasks
-emit at most one edge per document and region.
+   lot by lot first, and what has more than ``SHINGLES`` shingles is dealt into blocks, two of which meet in a task. Lots of
+   confirmed links give edges again.
+5. What windows cannot show is searched exactly. Documents of crowded runs, and of runs that the ranges of two tasks may cut, meet by
+   their rarest shingles: of linked sets at least one shingle is among the rarest quarter of both, in any fixed order. Groups by such a shingle whose
+   members are linked already are done. In the others, and in clusters above ``REGION``, every document that is not of the largest confirmed
+   component meets all documents, block by block.
+
+At a similarity of 0.75 a pair shares no run of any tree with probability below 2e-6, whatever ``REGION`` is. No pair is ever a row: tasks
+emit at most one edge per document and lot. Where most documents of a crowd are linked, the search costs their number times that of the
+others; a crowd of thousands with hardly a link is compared in full.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm import text as T
@@ -27,8 +32,12 @@ from millrace.llm.components import components
 from millrace.scratch import new_dir
 
 TREES, LEVELS, BASE = 16, 6, 2
-#: Documents that a region, and a cluster compared at once, may have.
+#: Documents of a window, and of a block; clusters up to it are compared at once.
 REGION = 1024
+#: Rows of a sorted order that a task holds at least, before it compares the runs that are complete.
+HOLD = 1 << 15
+#: Cells of the counts that order shingles by rarity: the one thing read by the driver, 12 bytes each.
+CELLS = 1 << 18
 #: Shingles of a block of long documents; two blocks, or one document of its own length, are in memory at once.
 SHINGLES = 4_000_000
 #: Shared share of sketch values from which two documents are compared; 0.75 less five standard deviations.
@@ -121,28 +130,141 @@ def _whole_groups(batches, key: str):
         yield pa.Table.from_batches(held).combine_chunks()
 
 
+def _loose_lots(sketch: np.ndarray, doc: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Per row, the row of the least document its sketch connects it with; rows lie in windows of ``size``.
+
+    Also whether it is connected with any.
+    """
+    left = np.repeat(np.cumsum(size), size) - np.arange(len(doc))  # rows from here to the window's end
+    a_all, b_all, a = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], np.arange(len(doc))
+    for step in range(1, int(size.max(initial=0))):
+        a = a[left[a] > step]
+        for at in range(0, len(a), 1 << 15):
+            some = a[at : at + (1 << 15)]
+            some = some[np.count_nonzero(sketch[some] == sketch[some + step], axis=1) >= LOOSE * _N]
+            a_all.append(some)
+            b_all.append(some + step)
+    order = np.argsort(doc, kind="stable")
+    place = np.empty(len(doc), np.int64)
+    place[order] = np.arange(len(doc))
+    a, b = np.concatenate(a_all), np.concatenate(b_all)
+    joined = np.zeros(len(doc), bool)
+    joined[a] = joined[b] = True
+    return order[_lots(place[a], place[b], len(doc))[place]], joined
+
+
 def _loose_edges(batches):
-    for table in _whole_groups(batches, "region"):
-        doc, region = table.column("doc").to_numpy(), table.column("region").to_numpy()
-        sketch = np.frombuffer(b"".join(x.as_py() for x in table.column("sketch")), np.uint8).reshape(len(doc), -1)
-        _, size = np.unique(region, return_counts=True)
-        left = np.repeat(np.cumsum(size), size) - np.arange(len(doc))  # rows from here to the region's end
-        a_all, b_all = [], []
-        for step in range(1, int(size.max())):
-            a = np.flatnonzero(left > step)
-            for at in range(0, len(a), 1 << 15):
-                some = a[at : at + (1 << 15)]
-                some = some[(sketch[some] == sketch[some + step]).mean(1) >= LOOSE]
-                a_all.append(some)
-                b_all.append(some + step)
-        a = np.concatenate(a_all) if a_all else np.zeros(0, np.int64)
-        b = np.concatenate(b_all) if b_all else a
-        order = np.argsort(doc, kind="stable")
-        place = np.empty(len(doc), np.int64)
-        place[order] = np.arange(len(doc))
-        root = _lots(place[a], place[b], len(doc))
-        own = np.flatnonzero(root != np.arange(len(doc)))
-        yield pa.RecordBatch.from_arrays([pa.array(doc[order[own]]), pa.array(doc[order[root[own]]])], ["u", "v"])
+    for table in _whole_groups(batches, "lot"):
+        doc, lot = table.column("doc").to_numpy(), table.column("lot").to_numpy()
+        sketch = T.column_bytes(table.column("sketch").combine_chunks())[0].reshape(len(doc), -1)
+        root, _ = _loose_lots(sketch, doc, np.unique(lot, return_counts=True)[1])
+        own = np.flatnonzero(doc[root] != doc)
+        yield pa.RecordBatch.from_arrays([pa.array(doc[own]), pa.array(doc[root[own]])], ["u", "v"])
+
+
+def _run_starts(tree: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """Where the longest common prefix with the row before has fewer than ``BASE`` values."""
+    new = (tree[1:] != tree[:-1]) | (key[1:, : 4 * BASE] != key[:-1, : 4 * BASE]).any(1)
+    return np.concatenate(([0], np.flatnonzero(new) + 1))
+
+
+def _windows(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First rows and sizes of the windows of these runs; runs of one row have none."""
+    size = ends - starts
+    fit = (size > 1) & (size <= REGION)
+    first, length = [starts[fit]], [size[fit]]
+    step = max(1, REGION // 2)
+    for low, high in zip(starts[size > REGION], ends[size > REGION]):
+        at = np.arange(low, max(low + 1, high - REGION + step), step)
+        first.append(at)
+        length.append(np.minimum(REGION, high - at))
+    return np.concatenate(first), np.concatenate(length)
+
+
+def _compared(rows: tuple, starts: np.ndarray, first_cut: bool, last_cut: bool) -> pa.RecordBatch:
+    """The candidates in the runs that begin at ``starts``: ``lot, u, v``; rows that are ``hot`` name documents to search exactly."""
+    tree, _, doc, sketch = rows
+    ends = np.append(starts[1:], len(doc))
+    crowded = ends - starts > REGION
+    crowded[0] |= first_cut
+    crowded[-1] |= last_cut
+    hot = np.unique(doc[np.repeat(crowded, ends - starts)])
+    first, size = _windows(starts, ends)
+    at = np.repeat(first - np.cumsum(size) + size, size) + np.arange(size.sum())
+    root, joined = _loose_lots(sketch[at], doc[at], size)
+    name = np.repeat(T.mix(doc[first].astype(np.uint64) * np.uint64(TREES) + tree[first].astype(np.uint64)), size)
+    lot = T.mix(name ^ T.mix(doc[at][root].astype(np.uint64))).view(np.int64)
+    u, v = doc[at][joined], doc[at][root][joined]
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(np.concatenate((lot[joined], np.zeros(len(hot), np.int64)))),
+            pa.array(np.concatenate((u, hot))),
+            pa.array(np.concatenate((v, hot))),
+            pa.array(np.repeat([False, True], [len(u), len(hot)])),
+        ],
+        ["lot", "u", "v", "hot"],
+    )
+
+
+def _neighbours(batches):
+    """Candidates of a task's range of the sorted orders, holding a bounded number of rows.
+
+    The first and the last run of the range may go on in other tasks, so their documents are hot, as those of crowded runs are.
+    """
+    held, rows, cut = [], 0, True
+    for batch in batches:
+        n = batch.num_rows
+        if not n:
+            continue
+        key, sketch = (T.column_bytes(batch.column(i))[0].reshape(n, -1) for i in (1, 3))
+        held.append((batch.column(0).to_numpy(), key, batch.column(2).to_numpy(), sketch))
+        rows += n
+        if rows < max(HOLD, 2 * REGION):
+            continue
+        whole = tuple(map(np.concatenate, zip(*held)))
+        starts = _run_starts(whole[0], whole[1])
+        last = int(starts[-1])
+        if last:
+            yield _compared(tuple(c[:last] for c in whole), starts[:-1], cut, False)
+        else:  # one run: its last window is compared again with what follows
+            yield _compared(whole, starts, True, True)
+            last = rows - REGION // 2
+        cut = len(starts) == 1
+        held, rows = [tuple(c[last:].copy() for c in whole)], rows - last
+    if rows:
+        whole = tuple(map(np.concatenate, zip(*held)))
+        yield _compared(whole, _run_starts(whole[0], whole[1]), cut, True)
+
+
+def _shingle_counts(width: int):
+    def counted(batches):
+        times = np.zeros(CELLS, np.int64)
+        for batch in batches:
+            for shingles in shingle_sets(batch.column("text"), width):
+                np.add.at(times, shingles % np.uint64(CELLS), 1)
+        cell = np.flatnonzero(times)
+        yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(times[cell])], ["cell", "times"])
+
+    return counted
+
+
+def _rarest(width: int, percent: int, times: np.ndarray):
+    """The shingles of which linked sets share one: the first of each set in the order of ``times`` and value."""
+
+    def found(batches):
+        for batch in batches:
+            shingle, n = [np.zeros(0, np.uint64)], []
+            for values in shingle_sets(batch.column("text"), width):
+                first = len(values) + (-percent * len(values)) // 100 + 1 if len(values) else 0
+                shingle.append(values[np.argsort(times[values % np.uint64(CELLS)], kind="stable")[:first]])
+                n.append(first)
+            n = np.array(n, np.int64)
+            doc, label = (np.repeat(batch.column(c).to_numpy(), n) for c in ("doc", "label"))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(shingle).view(np.int64)), pa.array(doc), pa.array(label)], ["lot", "doc", "label"]
+            )
+
+    return found
 
 
 def _sets(width: int):
@@ -204,31 +326,44 @@ def _saved(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def _regions(nodes: DataFrame) -> DataFrame:
-    """``(region, doc)`` of all regions with at least two documents, none above ``REGION`` + 1."""
-    step = 4 * LEVELS
-    rows = nodes.select("doc", "signature", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"))
-    found, depth = None, BASE
-    while True:
-        key = F.xxhash64("tree", F.expr(f"substring(signature, tree * {step} + 1, {4 * depth})"))
-        keyed = rows.select("doc", "tree", key.alias("region"), *(["signature"] if depth > BASE else []))
-        sized = keyed.groupBy("region").agg(F.count("*").alias("n"), F.min("doc").alias("least")).filter("n > 1")
-        fit = keyed.join(sized.filter(F.col("n") <= REGION).select("region"), "region").select("region", "doc")
-        found = fit if found is None else found.unionByName(fit)
-        large = _saved(sized.filter(F.col("n") > REGION), "forest-large")
-        if large.isEmpty():
-            return found
-        if depth == LEVELS:
-            break
-        with_key = rows.withColumn("region", key)
-        rows = _saved(with_key.join(large.select("region"), "region", "left_semi").drop("region"), "forest-rows")
-        depth += 1
-    block = F.xxhash64("region", F.pmod(F.xxhash64("doc", "tree"), F.ceil(F.col("n") / REGION).cast("long")))
-    alike = keyed.join(large, "region").select(block.alias("region"), "doc", "least")
-    return found.unionByName(alike.select("region", "doc")).unionByName(
-        alike.groupBy("region").agg(F.min("least").alias("doc"))
+def _sketch() -> Column:
+    return F.expr(f"substring(signature, {4 * _N + 1}, {_N})").alias("sketch")
+
+
+def _orders(nodes: DataFrame) -> DataFrame:
+    """``tree, key, doc, sketch``: the signatures in the order of every tree, sorted by ranges."""
+    key = F.expr(f"substring(signature, tree * {4 * LEVELS} + 1, {4 * LEVELS})").alias("key")
+    rows = nodes.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1)))).select("tree", key, "doc", _sketch())
+    return rows.repartitionByRange("tree", "key", "doc").sortWithinPartitions("tree", "key", "doc")
+
+
+def _rest_in_blocks(rows: DataFrame) -> DataFrame:
+    """Lots in which every document meets all those of its lot that have another label, at least.
+
+    ``rows`` are ``lot, doc, label, n`` (its shingles). Documents that are not of the lot's commonest label are dealt into blocks, all documents
+    too, and one block of either kind is a new lot. Lots of one label only have none.
+    """
+    per = rows.groupBy("lot", "label").agg(F.count("*").alias("docs"), F.sum("n").alias("n"))
+    sums = per.groupBy("lot").agg(
+        F.sum("docs").alias("docs"), F.sum("n").alias("n"), F.max(F.struct("docs", "n", "label")).alias("main")
     )
 
+    def parts(docs, n):
+        return F.greatest(F.ceil(docs / F.lit(REGION)), F.ceil(n / F.lit(SHINGLES))).cast("long")
+
+    blocks = sums.filter("docs > main.docs").select(
+        "lot",
+        F.col("main.label").alias("main"),
+        parts(F.col("docs"), F.col("n")).alias("wide"),
+        parts(F.col("docs") - F.col("main.docs"), F.col("n") - F.col("main.n")).alias("rest"),
+    )
+    here = rows.join(blocks, "lot")
+    i, j = F.pmod(F.xxhash64("doc", F.lit(1)), F.col("rest")), F.pmod(F.xxhash64("doc"), F.col("wide"))
+    every = here.withColumn("j", j).withColumn("i", F.explode(F.expr("sequence(0, rest - 1)")))
+    some = here.filter("label <> main").withColumn("i", i).withColumn("j", F.explode(F.expr("sequence(0, wide - 1)")))
+    both = every.select("lot", "doc", "i", "j").unionByName(some.select("lot", "doc", "i", "j"))
+    return both.select(F.xxhash64("lot", "i", "j").alias("lot"), "doc").distinct()
+
 
 def _in_blocks(lots: DataFrame, nodes: DataFrame) -> DataFrame:
     """``lots`` (``lot, doc``) with lots of too many shingles cut into lots of two blocks, so that every pair still meets."""
@@ -243,6 +378,65 @@ def _in_blocks(lots: DataFrame, nodes: DataFrame) -> DataFrame:
     return lots.join(long, "lot", "left_anti").unionByName(dealt.select(pair.alias("lot"), "doc"))
 
 
+def _members(clusters: DataFrame) -> DataFrame:
+    """``lot, doc`` of all members, from ``node, component``."""
+    least = clusters.select(F.col("component").alias("lot"), F.col("component").alias("doc")).distinct()
+    return _saved(clusters.select(F.col("component").alias("lot"), F.col("node").alias("doc")).unionByName(least), "forest-clusters")
+
+
+def _labelled(rows: DataFrame, linked: DataFrame) -> DataFrame:
+    """``rows`` with the confirmed component of their ``doc`` as ``label``."""
+    named = linked.select(F.col("node").alias("doc"), F.col("component").alias("label"))
+    return rows.join(named, "doc", "left").withColumn("label", F.coalesce("label", "doc"))
+
+
+def _confirmed(plain: DataFrame, lots: DataFrame, width: int, percent: int) -> DataFrame:
+    """Edges between documents of one lot that links of their full sets connect."""
+    return (
+        plain.join(lots, "doc")
+        .select("lot", "doc", "text")
+        .mapInArrow(_sets(width), "lot long, doc long, shingles binary")
+        .repartition("lot")
+        .sortWithinPartitions("lot")
+        .mapInArrow(_confirm(percent), "u long, v long")
+    )
+
+
+def _rare_edges(plain: DataFrame, nodes: DataFrame, hot: DataFrame, linked: DataFrame, width: int, percent: int) -> DataFrame:
+    """Loose edges between ``hot`` documents that share one of their rarest shingles and are not ``linked`` yet.
+
+    The order of rarity counts shingles by cell, over the hot documents; any order gives all links, a good one small groups. Groups with the same
+    members count once.
+    """
+    texts = _saved(_labelled(plain.join(hot, "doc"), linked), "forest-hot")
+    counts = texts.mapInArrow(_shingle_counts(width), "cell long, times long").groupBy("cell").agg(F.sum("times").alias("times"))
+    cells = counts.toArrow()
+    times = np.zeros(CELLS, np.uint32)
+    times[cells.column("cell").to_numpy()] = np.minimum(cells.column("times").to_numpy(), 0xFFFFFFFF)
+    rows = _saved(texts.mapInArrow(_rarest(width, percent, times), "lot long, doc long, label long"), "forest-rare")
+    groups = (
+        rows.groupBy("lot")
+        .agg(
+            F.count("*").alias("docs"),
+            F.bit_xor(F.xxhash64("doc")).alias("one"),
+            F.bit_xor(F.xxhash64("doc", F.lit(1))).alias("two"),
+            (F.min("label") < F.max("label")).alias("several"),
+        )
+        .filter("several")
+        .groupBy("docs", "one", "two")
+        .agg(F.min("lot").alias("lot"))
+    )
+    open_rows = _saved(rows.join(groups, "lot", "left_semi").withColumn("n", F.lit(0)), "forest-open")
+    lots = _rest_in_blocks(open_rows)
+    edges = (
+        lots.join(nodes.select("doc", _sketch()), "doc")
+        .repartition("lot")
+        .sortWithinPartitions("lot")
+        .mapInArrow(_loose_edges, "u long, v long")
+    )
+    return _saved(edges.distinct(), "forest-rare-edges")
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: ``doc_id, n_shingles, component_id, kept``.
 
@@ -259,37 +453,28 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75, id_col:
         .agg(F.min("doc").alias("doc"), F.max("signature").alias("signature")),
         "forest-nodes",
     )
-    regions = _saved(_regions(nodes), "forest-regions")
-    sketch = F.expr(f"substring(signature, {4 * _N + 1}, {_N})")
-    loose = (
-        regions.join(nodes.select("doc", sketch.alias("sketch")), "doc")
-        .repartition("region")
-        .sortWithinPartitions("region")
-        .mapInArrow(_loose_edges, "u long, v long")
-    )
-    clusters = components(loose)
-    members = _saved(
-        clusters.select(F.col("component").alias("lot"), F.col("node").alias("doc")).unionByName(
-            clusters.select(F.col("component").alias("lot"), F.col("component").alias("doc")).distinct()
-        ),
-        "forest-clusters",
+    found = _saved(_orders(nodes).mapInArrow(_neighbours, "lot long, u long, v long, hot boolean"), "forest-candidates")
+    pairs = found.filter("NOT hot").drop("hot")
+    members = _members(components(pairs.select("u", "v")))
+    sized = members.groupBy("lot").agg(F.count("*").alias("docs"))
+    large = _saved(members.join(sized.filter(F.col("docs") > REGION), "lot", "left_semi"), "forest-large")
+    lots = members.join(large.select("lot").distinct(), "lot", "left_anti").unionByName(
+        pairs.join(large.select("doc"), pairs["u"] == F.col("doc"), "left_semi").select("lot", F.col("u").alias("doc"))
     )
-    sized = members.groupBy("lot").agg(F.count("*").alias("n"))
-    large = sized.filter(F.col("n") > REGION).select("lot")
-    lots = members.join(large, "lot", "left_anti").unionByName(
-        regions.join(members.join(large, "lot", "left_semi").select("doc"), "doc", "left_semi").select(
-            F.col("region").alias("lot"), "doc"
+    links = _saved(_confirmed(plain, _in_blocks(lots, nodes), width, percent), "forest-links")
+    linked = _saved(components(links), "forest-linked")
+    rare = _rare_edges(plain, nodes, found.filter("hot").select(F.col("u").alias("doc")).distinct(), linked, width, percent)
+    if not (large.isEmpty() and rare.isEmpty()):
+        wider = _members(components(pairs.select("u", "v").unionByName(rare)))
+        before = members.withColumnRenamed("lot", "before")
+        labelled = _labelled(wider.join(before, "doc", "left").withColumn("before", F.coalesce("before", "doc")), linked)
+        open_lots = labelled.groupBy("lot").agg(
+            F.count("*").alias("docs"), (F.min("before") == F.max("before")).alias("same"), (F.min("label") < F.max("label")).alias("several")
         )
-    )
-    edges = (
-        plain.join(_in_blocks(lots, nodes), "doc")
-        .select("lot", "doc", "text")
-        .mapInArrow(_sets(width), "lot long, doc long, shingles binary")
-        .repartition("lot")
-        .sortWithinPartitions("lot")
-        .mapInArrow(_confirm(percent), "u long, v long")
-    )
-    linked = components(edges)
+        rest = labelled.join(open_lots.filter(F.col("several") & (~F.col("same") | (F.col("docs") > REGION))), "lot", "left_semi")
+        rest = rest.join(nodes.groupBy("doc").agg(F.sum("n").alias("n")), "doc").select("lot", "doc", "label", "n")
+        more = _saved(_confirmed(plain, _rest_in_blocks(rest), width, percent), "forest-more")
+        linked = components(links.unionByName(more))
     named = (
         nodes.select("n", "one", "two", F.col("doc").alias("node"))
         .join(linked, "node", "left")

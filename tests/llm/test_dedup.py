@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pytest
 
 from millrace.llm import components, exact, near, substring, suffixes
 
@@ -143,6 +144,32 @@ def test_near_in_deep_regions_and_split_clusters(spark, monkeypatch):
     assert {r.doc_id: r.component_id for r in near.near_duplicates(docs).collect()} == want
 
 
+@pytest.mark.parametrize("region, shared", [(4, 6), (8, 5), (8, 12), (1024, 6)])
+def test_linked_pairs_inside_a_crowd_of_others(spark, monkeypatch, region, shared):
+    """Pairs just above the similarity among texts just below it are all found, however small the windows are."""
+    from conftest import words
+
+    core, rows = words(50, 164), []
+    for pair in range(60):
+        both = words(1000 + pair, shared)
+        rows += [(2 * pair + i, f"{core} {both} {words(5000 + 2 * pair + i, 30 - shared)}") for i in (0, 1)]
+    rows += [(1000 + i, words(9000, 80) + f" end {i}") for i in range(40)]  # near copies, all linked
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(near, "REGION", region)
+    want = brute_near(rows)
+    assert len({r[2] for r in want}) == 61
+    assert Counter(map(tuple, near.near_duplicates(docs).collect())) == want
+
+
+def test_windows_of_sorted_orders(monkeypatch):
+    """Runs up to the number are one window; longer ones are windows that overlap by half, to the end."""
+    monkeypatch.setattr(near, "REGION", 4)
+    first, size = near._windows(np.array([0, 1, 3, 7]), np.array([1, 3, 7, 16]))
+    assert list(zip(first, size)) == [(1, 2), (3, 4), (7, 4), (9, 4), (11, 4), (13, 3)]
+    first, size = near._windows(np.array([0]), np.array([1]))
+    assert len(first) == len(size) == 0
+
+
 def test_long_clusters_are_compared_in_blocks(spark, monkeypatch):
     from conftest_words import family
 
