@@ -68,25 +68,33 @@ def shingle_sets(texts: pa.Array, width: int):
         first = last
 
 
+def _least_values(sets: list[np.ndarray]) -> list[bytes | None]:
+    """The MinHash values of each set, then their last bytes: a sketch to compare; None for an empty set."""
+    full = [s for s in sets if len(s)]
+    if not full:
+        return [None] * len(sets)
+    short = (np.concatenate(full) >> np.uint64(32)).astype(np.uint32)
+    starts = np.cumsum([0] + [len(s) for s in full[:-1]])
+    least = np.stack([np.minimum.reduceat(short * m + a, starts) for m, a in zip(_MULTIPLY, _ADD)], axis=1)
+    rows = np.concatenate((least.astype(">u4").view(np.uint8), least.astype(np.uint8)), axis=1)
+    found = iter(rows)
+    return [next(found).tobytes() if len(s) else None for s in sets]
+
+
 def _signatures(width: int):
     def signed(batches):
         for batch in batches:
-            n, one, two, values = [], [], [], []
+            n, one, two, values, held, size = [], [], [], [], [], 0
             for shingles in shingle_sets(batch.column(1), width):
                 n.append(len(shingles))
                 one.append(int(np.add.reduce(T.mix(shingles))) - (1 << 63) if len(shingles) else 0)
                 two.append(int(np.bitwise_xor.reduce(T.mix(shingles + np.uint64(77)))) - (1 << 63) if len(shingles) else 0)
-                if not len(shingles):
-                    values.append(None)
-                    continue
-                short = (shingles >> np.uint64(32)).astype(np.uint32)
-                least = np.full(_N, 0xFFFFFFFF, np.uint32)
-                for at in range(0, len(short), 4096):
-                    piece = short[at : at + 4096]
-                    for k in range(_N):
-                        least[k] = min(least[k], (piece * _MULTIPLY[k] + _ADD[k]).min())
-                # after the values themselves, their last bytes: a sketch to compare
-                values.append(least.astype(">u4").tobytes() + least.astype(np.uint8).tobytes())
+                held.append(shingles)
+                size += len(shingles)
+                if size >= 1 << 14:  # some documents at a time, within the processor's cache
+                    values += _least_values(held)
+                    held, size = [], 0
+            values += _least_values(held)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()), pa.array(values, pa.binary())],
                 ["doc", "n", "one", "two", "signature"],
