@@ -7,14 +7,17 @@ from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StatefulProcessor, StatefulProcessorHandle
 
 
 class _Counting(StatefulProcessor):
-    """State of a key: rows so far, the times of its first and last batch, and when it ends."""
+    """State of a key: rows so far, the times of its first and last batch, and when it ends.
+
+    Every call to the state is a message to the JVM, so a key is read once and written once a batch.
+    """
 
     def __init__(self, idle_ms: int):
         self.idle_ms = idle_ms
@@ -23,10 +26,10 @@ class _Counting(StatefulProcessor):
         self.handle = handle
         self.state = handle.getValueState("count", "n long, opened_ms long, last_ms long, ends_ms long")
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         now = timerValues.getCurrentProcessingTimeInMs()
-        added = sum(int(part["n"].sum()) for part in rows)
-        before = self.state.get() if self.state.exists() else None
+        added = sum(row["n"] for row in rows)
+        before = self.state.get()
         if before is not None:
             self.handle.deleteTimer(before[3])
             if before[3] <= now:  # its time was over before these rows came, though no batch has said so
@@ -36,14 +39,14 @@ class _Counting(StatefulProcessor):
         self.state.update((n + added, opened, now, now + self.idle_ms))
         self.handle.registerTimer(now + self.idle_ms)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        held = self.state.get() if self.state.exists() else None
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        held = self.state.get()
         if held is not None and held[3] <= timerValues.getCurrentProcessingTimeInMs():
             self.state.clear()
             yield self._ended(key, held)
 
-    def _ended(self, key, held) -> pd.DataFrame:
-        return pd.DataFrame([[key[0], held[0], held[1], held[2]]], columns=["key", "n", "opened_ms", "last_ms"])
+    def _ended(self, key, held) -> Row:
+        return Row(key=key[0], n=held[0], opened_ms=held[1], last_ms=held[2])
 
     def close(self) -> None:
         pass
@@ -69,7 +72,7 @@ def idle_counts(df: DataFrame, keys: Sequence[str], idle_ms: int) -> DataFrame:
     """
     keyed = df.select(F.to_json(F.struct(*keys)).alias("key"))
     fields = [T.StructField("key", T.StringType()), *[T.StructField(n, T.LongType()) for n in ("n", "opened_ms", "last_ms")]]
-    ended = _partial_counts(keyed).groupBy("key").transformWithStateInPandas(
+    ended = _partial_counts(keyed).groupBy("key").transformWithState(
         _Counting(idle_ms), outputStructType=T.StructType(fields), outputMode="Append", timeMode="ProcessingTime"
     )
     parsed = F.from_json("key", df.select(*keys).schema)
@@ -92,18 +95,26 @@ def run_out(writer: DataStreamWriter, checkpoint: str, timeout_s: float = 120) -
     """Run until no key has state left: every count has ended and was emitted.
 
     A query that starts again runs its first batch when the source has something new, be it a file without rows; from then on
-    timers keep it going.
+    timers keep it going. A batch may take any time. It is an error if, for ``timeout_s``, no batch runs or none reads rows or
+    leaves fewer keys than before.
     """
     query = writer.option("checkpointLocation", checkpoint).trigger(processingTime="100 milliseconds").start()
     try:
-        until = time.monotonic() + timeout_s
-        while time.monotonic() < until:
+        since, batch, fewest = time.monotonic(), None, None
+        while True:
             if query.exception() is not None:
                 raise query.exception()
-            done = query.lastProgress
-            if done is not None and not done.numInputRows and done.stateOperators and not done.stateOperators[0].numRowsTotal:
-                return
+            active, done = query.status["isTriggerActive"], query.lastProgress  # in this order: a batch reports before it is over
+            ended = done is not None and done.stateOperators and done.batchId != batch
+            if done is not None and done.stateOperators:
+                left = done.stateOperators[0].numRowsTotal
+                if not done.numInputRows and not left:
+                    return
+                if ended and (done.numInputRows or fewest is None or left < fewest):
+                    since, fewest = time.monotonic(), left
+                batch = done.batchId
+            if (ended or not active) and time.monotonic() - since > timeout_s:
+                raise TimeoutError(f"keys still have state after {timeout_s} s")
             time.sleep(0.1)
-        raise TimeoutError(f"keys still have state after {timeout_s} s")
     finally:
         query.stop()

@@ -68,6 +68,23 @@ def test_a_count_goes_on_across_a_restart_within_its_time(spark):
         inactivity.run_out(query, checkpoint, timeout_s=1)
 
 
+def test_a_long_batch_is_no_standstill(spark):
+    landing, out, checkpoint = dirs(spark, "in", "out", "cp")
+
+    def slow(batches):
+        import time
+
+        for batch in batches:
+            time.sleep(12)
+            yield batch
+
+    land(spark, landing, (1, "a"), (2, "b"), (1, "a"))
+    stream = spark.readStream.schema("k int, g string").parquet(landing).mapInPandas(slow, "k int, g string")
+    counts = inactivity.idle_counts(stream, ["k", "g"], 1).writeStream.outputMode("append").format("parquet").option("path", out)
+    inactivity.run_out(counts, checkpoint, timeout_s=10)
+    assert rows_of(spark, out, "k", "g", "n") == [(1, "a", 2), (2, "b", 1)]
+
+
 def test_state_is_read_back_at_any_batch(spark):
     landing, checkpoint = dirs(spark, "in", "cp")
     for rows in ([(1, "a"), (1, "b")], [(2, "a"), (None, "x")]):
