@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import Normalizer, VectorAssembler
 from pyspark.ml.fpm import FPGrowth
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.ml.regression import RandomForestRegressor
-from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -57,6 +57,23 @@ def fit_forest(train: DataFrame, cols: Sequence[str], seed: int, p: float = 1.0,
     return pipeline.fit(train, params={normal.p: p})
 
 
+def _grown(train: DataFrame, cols: Sequence[str], seed: int, p: float, sizes: Sequence[int]) -> list[PipelineModel]:
+    """Forests that together have each number of trees in ``sizes`` (ascending): each brings what the one before lacks."""
+    added = [n - before for before, n in zip([0, *sizes], sizes)]
+    return [fit_forest(train, cols, seed + i, p, n) for i, n in enumerate(added)]
+
+
+def _squared_errors(validation: DataFrame, forests: Sequence[PipelineModel], sizes: Sequence[int]) -> tuple[int, list[float]]:
+    """Rows, and the sum of squared errors of the forest of every size, in one pass: a forest predicts the mean of its trees."""
+    rows, total, errors = validation, F.lit(0.0), []
+    for i, (forest, before, n) in enumerate(zip(forests, [0, *sizes], sizes)):
+        rows = forest.transform(rows).drop("features", "normalized").withColumnRenamed("prediction", f"_{i}")
+        total = total + F.col(f"_{i}") * (n - before)
+        errors.append(F.sum(F.pow(total / n - F.col("label"), 2)).alias(f"e{i}"))
+    found = rows.agg(F.count("label").alias("n"), *errors).first()
+    return found[0], list(found[1:])
+
+
 def cross_validate(
     train: DataFrame,
     cols: Sequence[str],
@@ -65,22 +82,29 @@ def cross_validate(
     trees: Sequence[int] = (10, 50, 100),
     folds: int = 5,
     parallelism: int = 2,
-) -> tuple[CrossValidatorModel, DataFrame]:
-    """Grid search by RMSE; returns the model and ``(p, trees, rmse)`` per grid point."""
-    pipeline, normal, forest = forest_pipeline(cols, seed)
-    grid = (
-        ParamGridBuilder().addGrid(normal.p, list(norms)).addGrid(forest.numTrees, list(trees)).build()
-    )
-    model = CrossValidator(
-        estimator=pipeline,
-        estimatorParamMaps=grid,
-        evaluator=RegressionEvaluator(metricName="rmse"),
-        numFolds=folds,
-        parallelism=parallelism,
-        seed=seed,
-    ).fit(train)
-    scores = [
-        (float(point[normal.p]), int(point[forest.numTrees]), float(score))
-        for point, score in zip(grid, model.avgMetrics)
-    ]
-    return model, train.sparkSession.createDataFrame(scores, "p double, trees int, rmse double")
+) -> tuple[PipelineModel, DataFrame]:
+    """Grid search by RMSE, averaged over the folds; returns the best point's model, fitted to all rows, and ``(p, trees, rmse)`` per grid point.
+
+    The trees of a forest are independent, so a larger forest goes on from the next smaller one: per norm and fold as many trees are
+    fitted as the largest forest has, and one pass over the fold left out scores all sizes. Rows are dealt out evenly first.
+    """
+    spark, sizes = train.sparkSession, sorted(set(trees))
+    fold = F.floor(F.rand(seed) * folds).cast("int")
+    dealt = train.repartition(2 * spark.sparkContext.defaultParallelism).select("label", *cols, fold.alias("_fold")).cache()
+    try:
+
+        def scored(point: tuple[float, int]) -> list[float]:
+            p, k = point
+            forests = _grown(dealt.where(F.col("_fold") != k), cols, seed, p, sizes)
+            n, errors = _squared_errors(dealt.where(F.col("_fold") == k), forests, sizes)
+            return [(e / n) ** 0.5 for e in errors]
+
+        points = [(p, k) for p in norms for k in range(folds)]
+        with ThreadPoolExecutor(parallelism) as pool:
+            found = dict(zip(points, pool.map(inheritable_thread_target(spark)(scored), points)))
+        scores = [(float(p), int(n), sum(found[p, k][sizes.index(n)] for k in range(folds)) / folds) for p in norms for n in trees]
+        best = min(scores, key=lambda score: score[2])
+        model = fit_forest(dealt, cols, seed, best[0], best[1])
+    finally:
+        dealt.unpersist()
+    return model, spark.createDataFrame(scores, "p double, trees int, rmse double")
