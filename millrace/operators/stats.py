@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace import scratch
-from millrace.operators.skew import salted_join
+from millrace.operators.skew import _bytes, salted_join
 
 
 def pair_stats(df: DataFrame, keys: Sequence[str], x: str, y: str) -> DataFrame:
@@ -47,10 +47,9 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str], method: str) -> DataF
 
     The matrix is columns × columns, whatever the number of rows.
     """
-    rows = df.select(*cols)
     if method == "spearman":
-        rows = _as_ranks(rows, cols)
-    vectors = VectorAssembler(inputCols=list(cols), outputCol="v").transform(rows)
+        return _rank_correlation(df.select(*cols), list(cols))
+    vectors = VectorAssembler(inputCols=list(cols), outputCol="v").transform(df.select(*cols))
     matrix = Correlation.corr(vectors, "v", "pearson").first()[0].toArray()
     cells = [(a, b, float(matrix[i][j])) for i, a in enumerate(cols) for j, b in enumerate(cols)]
     return df.sparkSession.createDataFrame(cells, "i string, j string, r double")
@@ -82,15 +81,58 @@ def average_ranks(df: DataFrame, col: str) -> DataFrame:
     return _ranks_of(_counted_values(df, col), col)
 
 
-def _as_ranks(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Replace each value by its average rank, joined by value; frequent values are spread out where Spark will not
-    broadcast the ranks."""
-    rows = df.withColumn("_row", F.monotonically_increasing_id())
-    for c in cols:
+#: Bytes of a value with its rank in a broadcast table, about.
+_RANK_BYTES = 32
+
+
+def _rank_correlation(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Pearson correlation of the average ranks, as rows ``(i, j, r)``; rows with a null are ranked but not correlated.
+
+    Ranks of few values are broadcast, by their true number. One column of many values needs no join with the rows: they are added up by
+    its values, which its ranks then weigh. Further such columns are joined by value, frequent ones spread out.
+    """
+    spark = df.sparkSession
+    limit = _bytes(spark.conf.get("spark.sql.autoBroadcastJoinThreshold"))
+    rows, large, total = df.dropna(subset=cols).withColumn("_row", F.monotonically_increasing_id()), {}, 0
+    for c in dict.fromkeys(cols):
         counted = _counted_values(df, c)
-        ranks = _ranks_of(counted, c).select(c, F.col("rank").alias(f"_{c}"))
+        size, total = counted.agg(F.count(F.lit(1)), F.sum("n")).first()
+        # ranks about their mean, so that sums of products stay small
+        ranks = _ranks_of(counted, c).select(c, (F.col("rank") - ((total or 0) + 1) / 2).alias(f"_{c}"))
+        if size * _RANK_BYTES <= limit:
+            rows = rows.join(F.broadcast(ranks), c)
+        else:
+            large[c] = ranks
+    weighed = large.popitem() if large else None
+    for c, ranks in large.items():
         rows = salted_join(rows, ranks, [c], spread_by=["_row"])
-    return rows.select(*[F.col(f"_{c}").alias(c) for c in cols])
+    names = [c for c in dict.fromkeys(cols) if weighed is None or c != weighed[0]]
+    pairs = [(a, b) for i, a in enumerate(names) for b in names[i:]]
+    sums = [F.sum(f"_{c}").alias(f"s_{c}") for c in names] + [F.sum(F.col(f"_{a}") * F.col(f"_{b}")).alias(f"p_{a}_{b}") for a, b in pairs]
+    n = F.count(F.lit(1)).alias("n")
+    if weighed is None:
+        found = rows.agg(n, *sums)
+    else:
+        w, rank = weighed[0], F.col(f"_{weighed[0]}")
+        per = rows.groupBy(w).agg(n, *sums).join(weighed[1], w)
+        again = [F.sum(x).alias(x) for x in ("n", *(f"s_{c}" for c in names), *(f"p_{a}_{b}" for a, b in pairs))]
+        own = [F.sum(rank * F.col("n")).alias(f"s_{w}"), F.sum(rank * rank * F.col("n")).alias(f"p_{w}_{w}")]
+        found = per.agg(*again, *own, *[F.sum(rank * F.col(f"s_{c}")).alias(f"p_{c}_{w}") for c in names])
+    got = found.first().asDict()
+    if (got["n"] or 0) < 2:
+        raise ValueError("a correlation needs two rows at least")
+
+    def spread(a: str, b: str) -> float:
+        both = got.get(f"p_{a}_{b}", got.get(f"p_{b}_{a}"))
+        return both - got[f"s_{a}"] * got[f"s_{b}"] / got["n"]
+
+    def r(a: str, b: str) -> float:
+        if a == b:
+            return 1.0
+        scale = (spread(a, a) * spread(b, b)) ** 0.5 if min(spread(a, a), spread(b, b)) > 0 else 0.0
+        return spread(a, b) / scale if scale else float("nan")
+
+    return spark.createDataFrame([(a, b, r(a, b)) for a in cols for b in cols], "i string, j string, r double")
 
 
 def chi_square(df: DataFrame, label: str, cols: Sequence[str]) -> DataFrame:
