@@ -102,10 +102,10 @@ def lines(found: DataFrame, header: bool = True, task_bytes: int = TASK_BYTES) -
     """``file, entry, value``: the lines of the entries, without each one's first line.
 
     Entries are dealt to tasks of about ``task_bytes`` compressed bytes, so an archive of many entries is read by many tasks; one entry is read by one, since
-    deflated data has no places to begin at.
+    deflated data has no places to begin at. So there are never more tasks than entries.
     """
-    total = found.agg(F.sum("packed")).first()[0] or 0
-    tasks = max(1, -(-total // task_bytes))
+    total, number = found.agg(F.sum("packed"), F.count(F.lit(1))).first()
+    tasks = max(1, min(number, -(-(total or 0) // task_bytes)))
     dealt = found.repartition(tasks, "path", "entry", "at") if tasks > 1 else found.coalesce(1)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -139,7 +139,11 @@ def pack(df: DataFrame, directory: str, archive: str, entry: str, col: str = "va
                 yield pa.RecordBatch.from_arrays([pa.array([f"{inner}/{held['archive']}.zip"]), pa.array([held["rows"]])], ["path", "rows"])
 
         for batch in batches:
-            for name, part, line in zip(*(batch.column(k).to_pylist() for k in range(3))):
+            names, parts, values = (batch.column(k).to_pylist() for k in range(3))
+            # runs of one entry are written at once
+            starts = [k for k in range(len(names)) if not k or names[k] != names[k - 1] or parts[k] != parts[k - 1]]
+            for low, high in zip(starts, [*starts[1:], len(names)]):
+                name, part = names[low], parts[low]
                 if name != held["archive"]:
                     yield from done()
                     raw = files.open_output_stream(f"{inner}/.{name}.part")
@@ -149,8 +153,8 @@ def pack(df: DataFrame, directory: str, archive: str, entry: str, col: str = "va
                         held["out"].close()
                     held["entry"], held["out"] = part, held["zip"].open(f"{part}.csv", "w")
                     held["out"].write(b"header\n")
-                held["out"].write(line.encode() + b"\n")
-                held["rows"] += 1
+                held["out"].write(("\n".join(values[low:high]) + "\n").encode())
+                held["rows"] += high - low
         yield from done()
 
     rows = df.select(F.col(archive).cast("string").alias("a"), F.col(entry).cast("string").alias("e"), F.col(col).cast("string").alias("v"))

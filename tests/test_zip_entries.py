@@ -70,3 +70,9 @@ def test_lines_across_pieces(size):
     data = b"h\na\r\nb\rc\n\n\r\nlast"
     pieces = (data[i : i + size] for i in range(0, len(data), size))
     assert [v for part in zip_entries._lines(pieces, True) for v in part] == ["a", "b", "c", "", "", "last"]
+
+
+def test_never_more_tasks_than_entries(spark, tmp_path):
+    write(tmp_path / "a.zip", {f"{i}.csv": "header\n" + "\n".join(str(j * 7919 % 10007) for j in range(2000)) for i in range(3)})
+    lines = zip_entries.lines(zip_entries.entries(spark, str(tmp_path)), task_bytes=64)
+    assert lines.rdd.getNumPartitions() <= 3 and lines.count() == 6000
