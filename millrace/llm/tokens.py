@@ -1,14 +1,13 @@
 """Byte-level BPE token ids with public vocabulary files; no training here.
 
 The driver reads the vocabulary file and its bytes travel with the tasks, so executors need no copy. A Python worker
-keeps the coder between tasks, with the ids of words it has met.
+keeps the coder between tasks.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
-import re
 import sys
 import types
 
@@ -19,12 +18,6 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: How the vocabulary's texts were cut before merging (fixed value).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-#: Words whose ids a worker keeps, some 260 bytes each.
-KEPT_WORDS = 30_000
-
-# a cut before a lone space between two other characters is one the pattern makes too
-_UNSAFE = re.compile(r"^\s|\s$| \s|\s ")
-
 
 class Coder:
     def __init__(self, vocabulary: bytes):
@@ -37,32 +30,13 @@ class Coder:
         for piece, rank in ranks.items():
             self.lengths[rank] = len(piece)
         self._coding = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self._words: dict[str, bytes] = {}
 
     def _direct(self, text: str) -> bytes:
         return np.array(self._coding.encode_ordinary(text), self.kind).tobytes()
 
     def encode(self, text: str) -> bytes:
-        """The ids of the whole text, packed; the same as encoding it in one go, with known words looked up."""
-        if not text:
-            return b""
-        if _UNSAFE.search(text):
-            return self._direct(text)
-        words = self._words
-        first, *rest = text.split(" ")
-        parts = [words.get(w) for w in rest]
-        if None in parts:
-            if len(words) > KEPT_WORDS:
-                words.clear()
-            for k, part in enumerate(parts):
-                if part is None:
-                    word = rest[k]
-                    if (part := words.get(word)) is None:
-                        part = self._direct(" " + word)
-                        if len(word) < 40:
-                            words[word] = part
-                    parts[k] = part
-        return self._direct(first) + b"".join(parts)
+        """The ids of the whole text, packed. Nothing is kept: looking words up costs more than merging them again."""
+        return self._direct(text)
 
 
 def read_vocabulary(path: str = VOCABULARY) -> bytes:

@@ -36,6 +36,13 @@ def test_permutation_is_one_to_one_and_inverts():
     assert (training_order.permute(np.arange(1000), 1000, 1) != training_order.permute(np.arange(1000), 1000, 2)).any()
 
 
+def test_a_worker_keeps_no_words(coder):
+    held = lambda: {k: len(v) for k, v in vars(coder).items() if isinstance(v, dict)}
+    before = held()
+    coder.encode(" ".join(f"w{i:05}x" for i in range(5000)))
+    assert held() == before
+
+
 def test_shards_hold_every_token_and_resume(spark, odd, odd_rows, nothing, coder):
     path = training_order.new_path(spark)
     manifest = training_order.materialise(odd, path, length=64)
