@@ -11,8 +11,9 @@
    lot by lot first, and what has more than ``SHINGLES`` shingles is dealt into blocks, two of which meet in a task. Lots of
    confirmed links give edges again.
 5. What windows cannot show is searched exactly. Documents of crowded runs, and of runs that the ranges of two tasks may cut, meet by
-   their rarest shingles: of linked sets at least one shingle is among the rarest quarter of both, in any fixed order. Groups by such a shingle whose
-   members are linked already are done. In the others, and in clusters above ``REGION``, every document that is not of the largest confirmed
+   their rarest shingles: of linked sets at least one shingle is among the rarest quarter of both, in any fixed order. Packs of documents tell
+   hash ranges these shingles and are told which of them several confirmed components hold; only these become rows, so a shingle of one
+   document, or of documents that are linked already, is none. In the others, and in clusters above ``REGION``, every document that is not of the largest confirmed
    component meets all documents, block by block.
 
 At a similarity of 0.75 a pair shares no run of any tree with probability below 2e-6, whatever ``REGION`` is. No pair is ever a row: tasks
@@ -24,9 +25,11 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm import chunks as C
 from millrace.llm import text as T
 from millrace.llm.components import components
 from millrace.scratch import new_dir
@@ -38,6 +41,10 @@ REGION = 1024
 HOLD = 1 << 15
 #: Cells of the counts that order shingles by rarity: the one thing read by the driver, 12 bytes each.
 CELLS = 1 << 18
+#: Ranges of cells that are summed by themselves; a task sends one row to each.
+CELL_RANGES = 32
+#: Rarest shingles after which a task ends a pack, 24 bytes each; ranges are as many as full packs would be, but for small inputs.
+PACK, LEAST_RANGES = 1 << 18, 16
 #: Shingles of a block of long documents; two blocks, or one document of its own length, are in memory at once.
 SHINGLES = 4_000_000
 #: Shared share of sketch values from which two documents are compared; 0.75 less five standard deviations.
@@ -251,15 +258,36 @@ def _shingle_counts(width: int):
             for shingles in shingle_sets(batch.column("text"), width):
                 np.add.at(times, shingles % np.uint64(CELLS), 1)
         cell = np.flatnonzero(times)
-        yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(times[cell])], ["cell", "times"])
+        at = np.searchsorted(cell, np.arange(CELL_RANGES + 1) * CELLS // CELL_RANGES)
+        full = np.flatnonzero(np.diff(at))
+        packed = [pa.array([x[at[p] : at[p + 1]].tobytes() for p in full], pa.binary()) for x in (cell.astype(np.uint32), times[cell])]
+        yield pa.RecordBatch.from_arrays([pa.array(full, pa.int64()), *packed], ["range", "cells", "times"])
 
     return counted
 
 
+def _cell_sums(table: pa.Table) -> pa.Table:
+    """The counts of one range of cells, summed over the tasks: one row."""
+    cells, which = np.unique(C.unpack(table, "cells", np.uint32)[0], return_inverse=True)
+    times = np.zeros(len(cells), np.int64)
+    np.add.at(times, which, C.unpack(table, "times", np.int64)[0])
+    return pa.table({"cells": pa.array([cells.tobytes()], pa.binary()), "times": pa.array([times.tobytes()], pa.binary())})
+
+
 def _rarest(width: int, percent: int, times: np.ndarray):
-    """The shingles of which linked sets share one: the first of each set in the order of ``times`` and value."""
+    """The shingles of which linked sets share one: the first of each set in the order of ``times`` and value.
+
+    A pack holds those of many documents, by value: ``chunk`` (its number), ``hashes, docs, labels``.
+    """
+
+    def packed(number, held):
+        shingle, doc, label = map(np.concatenate, zip(*held))
+        order = np.argsort(shingle, kind="stable")
+        blobs = [pa.array([x[order].tobytes()], pa.binary()) for x in (shingle, doc, label)]
+        return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), *blobs], ["chunk", "hashes", "docs", "labels"])
 
     def found(batches):
+        number, held, size = TaskContext.get().partitionId() << 32, [], 0
         for batch in batches:
             shingle, n = [np.zeros(0, np.uint64)], []
             for values in shingle_sets(batch.column("text"), width):
@@ -268,13 +296,55 @@ def _rarest(width: int, percent: int, times: np.ndarray):
                 n.append(first)
             n = np.array(n, np.int64)
             doc, label = (np.repeat(batch.column(c).to_numpy(), n) for c in ("doc", "label"))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(shingle).view(np.int64)), pa.array(doc), pa.array(label)], ["lot", "doc", "label"]
-            )
+            held.append((np.concatenate(shingle), doc, label))
+            size += len(doc)
+            if size >= PACK:
+                yield packed(number, held)
+                number, held, size = number + 1, [], 0
+        if size:
+            yield packed(number, held)
 
     return found
 
 
+def _told(ranges: int):
+    """What packs tell the hash ranges: each shingle once, with its least and greatest label."""
+
+    def told(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                pack = pa.Table.from_batches([batch.slice(i, 1)])
+                hashes, label = C.unpack(pack, "hashes", np.uint64)[0], C.unpack(pack, "labels", np.int64)[0]
+                starts = _value_starts(hashes)
+                low, high = np.minimum.reduceat(label, starts), np.maximum.reduceat(label, starts)
+                yield from C.packed_rows(pack.column("chunk")[0].as_py(), ranges, hashes[starts], low=low, high=high).to_batches()
+
+    return told
+
+
+def _value_starts(values: np.ndarray) -> np.ndarray:
+    """Where the runs of equal values begin; there is at least one value."""
+    return np.concatenate(([0], np.flatnonzero(values[1:] != values[:-1]) + 1))
+
+
+def _several(table: pa.Table) -> pa.Table:
+    """The answers of a hash range: per pack that told it any, its shingles that have several labels over all packs."""
+    hashes, row = C.unpack(table, "hashes", np.uint64)
+    low, high = (C.unpack(table, c, np.int64)[0] for c in ("low", "high"))
+    order = np.argsort(hashes, kind="stable")
+    starts = _value_starts(hashes[order])
+    several = np.minimum.reduceat(low[order], starts) < np.maximum.reduceat(high[order], starts)
+    some = order[np.repeat(several, np.diff(np.append(starts, len(order))))]
+    return C.per_row(table, row[some], hashes[some], "lots")
+
+
+def _open_rows(pack: pa.Table, answers: pa.Table) -> pa.Table:
+    """``lot, doc, label`` of a pack's shingles that have several labels."""
+    hashes, doc, label = (C.unpack(pack, c, kind)[0] for c, kind in (("hashes", np.uint64), ("docs", np.int64), ("labels", np.int64)))
+    some = T.member(hashes, np.sort(C.unpack(answers, "lots", np.uint64)[0]))
+    return pa.table({"lot": pa.array(hashes[some].view(np.int64)), "doc": pa.array(doc[some]), "label": pa.array(label[some])})
+
+
 def _sets(width: int):
     def made(batches):
         for batch in batches:
@@ -417,20 +487,22 @@ def _rare_edges(plain: DataFrame, nodes: DataFrame, hot: DataFrame, linked: Data
     members count once.
     """
     texts = _saved(_labelled(plain.join(hot, "doc"), linked), "forest-hot")
-    counts = texts.mapInArrow(_shingle_counts(width), "cell long, times long").groupBy("cell").agg(F.sum("times").alias("times"))
-    cells = counts.toArrow()
+    counts = texts.mapInArrow(_shingle_counts(width), "range long, cells binary, times binary")
+    cells = counts.groupBy("range").applyInArrow(_cell_sums, "cells binary, times binary").toArrow()
     times = np.zeros(CELLS, np.uint32)
-    times[cells.column("cell").to_numpy()] = np.minimum(cells.column("times").to_numpy(), 0xFFFFFFFF)
-    rows = _saved(texts.mapInArrow(_rarest(width, percent, times), "lot long, doc long, label long"), "forest-rare")
+    times[C.unpack(cells, "cells", np.uint32)[0]] = np.minimum(C.unpack(cells, "times", np.int64)[0], 0xFFFFFFFF)
+    packs = _saved(texts.mapInArrow(_rarest(width, percent, times), "chunk long, hashes binary, docs binary, labels binary"), "forest-packs")
+    ranges = max(LEAST_RANGES, -(-(packs.agg(F.sum(F.length("hashes"))).first()[0] or 0) // (8 * PACK)))
+    told = packs.mapInArrow(_told(ranges), "range long, chunk long, hashes binary, low binary, high binary")
+    answers = told.groupBy("range").applyInArrow(_several, "chunk long, lots binary")
+    rows = _saved(C.beside(packs, answers, _open_rows, "lot long, doc long, label long"), "forest-rare")
     groups = (
         rows.groupBy("lot")
         .agg(
             F.count("*").alias("docs"),
             F.bit_xor(F.xxhash64("doc")).alias("one"),
             F.bit_xor(F.xxhash64("doc", F.lit(1))).alias("two"),
-            (F.min("label") < F.max("label")).alias("several"),
         )
-        .filter("several")
         .groupBy("docs", "one", "two")
         .agg(F.min("lot").alias("lot"))
     )

@@ -161,6 +161,53 @@ def test_linked_pairs_inside_a_crowd_of_others(spark, monkeypatch, region, share
     assert Counter(map(tuple, near.near_duplicates(docs).collect())) == want
 
 
+@pytest.mark.parametrize("pack", [60, 1 << 18])
+def test_rarest_shingles_are_rows_only_where_labels_differ(spark, monkeypatch, pack):
+    """Crowds of two sizes: shingles of one document or of linked ones are no rows, and all links are found."""
+    from conftest import words
+
+    made, saved = {}, near._saved
+
+    def counted(df, label):
+        df = saved(df, label)
+        made[label] = df.count()
+        return df
+
+    monkeypatch.setattr(near, "_saved", counted)
+    monkeypatch.setattr(near, "REGION", 8)
+    monkeypatch.setattr(near, "PACK", pack)
+    rare = []
+    for crowd in (40, 80):
+        rows = [(i, f"{words(70, 200)} {words(100 + i, 20)}") for i in range(crowd)]  # all linked, each with words of its own
+        rows += [(900 + i, f"{words(70, 120)} {words(700, 60 + 3 * i)}") for i in range(3)]  # share a part, linked with each other only
+        want = brute_near(rows)
+        assert {r[2] for r in want} == {0, 900}
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+        assert Counter(map(tuple, near.near_duplicates(docs).collect())) == want
+        assert made["forest-hot"] >= crowd
+        rare.append(made["forest-rare"])
+    assert rare[0] <= 10 * 43 and rare[1] <= 10 * 83  # each document has about 50 shingles among its rarest
+
+
+def test_packs_and_ranges_give_the_shingles_of_several_labels(monkeypatch):
+    sets = {(1, 1): [5, 9, 1 << 63], (2, 1): [5, 7], (3, 3): [7, (1 << 64) - 1], (4, 4): [(1 << 64) - 1, 1 << 40], (5, 1): [9]}
+    packs, told = [], []
+    for number, part in enumerate([[(1, 1), (3, 3)], [(2, 1), (5, 1)], [(4, 4)]]):
+        rows = sorted((h, *who) for who in part for h in sets[who])
+        blobs = [np.array(x, kind).tobytes() for x, kind in zip(zip(*rows), (np.uint64, np.int64, np.int64))]
+        packs.append(pa.table({"chunk": [number], **{c: pa.array([b], pa.binary()) for c, b in zip(("hashes", "docs", "labels"), blobs)}}))
+        told += near._told(4)(packs[-1].to_batches())
+    told = pa.Table.from_batches(told)
+    ranges = [told.filter(pa.compute.equal(told["range"], r)) for r in set(told["range"].to_pylist())]
+    answers = pa.concat_tables([near._several(t) for t in ranges])
+    got = set()
+    for number, pack in enumerate(packs):
+        rows = near._open_rows(pack, answers.filter(pa.compute.equal(answers["chunk"], number)))
+        got |= {(r["lot"] % (1 << 64), r["doc"], r["label"]) for r in rows.to_pylist()}
+    last = (1 << 64) - 1
+    assert got == {(7, 2, 1), (7, 3, 3), (last, 3, 3), (last, 4, 4)}
+
+
 def test_windows_of_sorted_orders(monkeypatch):
     """Runs up to the number are one window; longer ones are windows that overlap by half, to the end."""
     monkeypatch.setattr(near, "REGION", 4)
